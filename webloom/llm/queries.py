@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import arrow_files, line_dedup, packing, quality, simhash, tokens, url_filters
+from webloom.llm import arrow_files, line_dedup, packing, quality, simhash, substring_dedup, tokens, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +37,17 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_duplicates(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_arrow_token_files, op5_quality_rules, op6_simhash_near_dedup, op8_line_dedup, op10_url_filters)
+    for f in (op1_best_fit_packing, op2_arrow_token_files, op5_quality_rules, op6_simhash_near_dedup, op8_line_dedup, op9_substring_dedup, op10_url_filters)
 }
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_line_dedup": line_dedup.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE}
