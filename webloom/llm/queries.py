@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import arrow_files, line_dedup, packing, pii, quality, simhash, substring_dedup, tokens, url_filters
+from webloom.llm import arrow_files, langid, line_dedup, packing, pii, quality, simhash, substring_dedup, tokens, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.learn_and_identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
@@ -53,6 +57,6 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_arrow_token_files, op3_personal_data, op5_quality_rules, op6_simhash_near_dedup, op8_line_dedup, op9_substring_dedup, op10_url_filters)
+    for f in (op1_best_fit_packing, op2_arrow_token_files, op3_personal_data, op5_quality_rules, op6_simhash_near_dedup, op7_language_id, op8_line_dedup, op9_substring_dedup, op10_url_filters)
 }
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_line_dedup": line_dedup.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE}
