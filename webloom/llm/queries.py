@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import arrow_files, langid, line_dedup, packing, pii, quality, simhash, substring_dedup, tokens, url_filters
+from webloom.llm import arrow_files, decontaminate, langid, line_dedup, packing, pii, quality, simhash, substring_dedup, tokens, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,6 +61,6 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_arrow_token_files, op3_personal_data, op5_quality_rules, op6_simhash_near_dedup, op7_language_id, op8_line_dedup, op9_substring_dedup, op10_url_filters)
+    for f in (op1_best_fit_packing, op2_arrow_token_files, op3_personal_data, op4_benchmark_decontamination, op5_quality_rules, op6_simhash_near_dedup, op7_language_id, op8_line_dedup, op9_substring_dedup, op10_url_filters)
 }
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_line_dedup": line_dedup.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE}

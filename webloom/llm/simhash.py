@@ -220,9 +220,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def first_of_groups(docs: DataFrame) -> DataFrame:
     """docs without rows whose component holds a smaller doc_id; of repeated doc_ids one row stays.
 
-    Rows with a null doc_id stay unless their group has another. Columns are those of docs.
+    Rows with a null doc_id can't be their group's smallest; they stay, exact copies among them once.
+    Columns are those of docs.
     """
-    groups = near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    one = docs.dropDuplicates(["doc_id"])
-    return one.join(kept, one.doc_id.cast("long").eqNullSafe(kept["_id"]), "left_semi").select(*docs.columns)
+    kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    ids = docs.withColumn("doc_id", F.col("doc_id").cast("long")) if dict(docs.dtypes)["doc_id"] != "bigint" else docs
+    named = ids.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = ids.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
+    return named.select(*docs.columns).union(nameless.select(*docs.columns))
