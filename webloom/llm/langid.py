@@ -233,7 +233,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     tune(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*names, answer("text").alias("_answer")).select(*names, "_answer.*")
+    return docs.select(F.struct(*names).alias("row"), answer("text").alias("answer")).select("row.*", "answer.*")
 
 
 def held_out(doc_id: Column) -> Column:

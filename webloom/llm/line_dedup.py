@@ -75,17 +75,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     stays null and counts as one empty line. Repeated rows: each keeps what its document keeps. An
     empty table gives no rows. Columns named like those added here are replaced.
     """
-    marks = keep_bitmaps(docs, min_chars, min_docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("dropped").alias("_dropped"))
+    marks = keep_bitmaps(docs, min_chars, min_docs)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    at = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = docs.select(*names).join(marks, at, "left")
+    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col("text").alias("text"))
+    joined = rows.join(marks, rows["id"].eqNullSafe(marks["doc_id"]) & (rows["hash"] == marks["text_hash"]), "left")
     lines = "split(text, '\n', -1)"
-    gone = "flatten(transform(_dropped, r -> sequence(r.at, r.at + r.len - 1)))"
+    gone = "flatten(transform(dropped, r -> sequence(r.at, r.at + r.len - 1)))"
     kept = f"transform(array({lines}), l -> array_join(transform(array_except(sequence(0, size(l) - 1), {gone}), i -> get(l, i)), '\n'))[0]"
-    text = F.expr(f"case when _dropped is null then text else {kept} end")
-    n_dropped = F.expr("coalesce(aggregate(_dropped, 0L, (n, r) -> n + r.len), 0L)")
+    text = F.expr(f"case when dropped is null then text else {kept} end")
+    n_dropped = F.expr("coalesce(aggregate(dropped, 0L, (n, r) -> n + r.len), 0L)")
     n_lines = F.size(lines_of(F.col("text"))).cast("long")
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in names], n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+    out = joined.select("row", text.alias("text"), n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+    return out.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names], "n_lines", "n_dropped")
 
 
 #: The same for DuckDB, in terms of the contract.

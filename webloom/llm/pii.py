@@ -220,9 +220,10 @@ def redact(text: str, spans: str) -> str:
 
 def sanitize(docs: DataFrame, **options) -> DataFrame:
     """docs with all personal data and disclosing terms in text generalised; other columns as they are."""
-    spans = find_personal_data(docs, **options).where("spans <> ''").select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), "spans").distinct().withColumnRenamed("spans", "_spans")
+    spans = find_personal_data(docs, **options).where("spans <> ''").select("doc_id", "crc", "spans").distinct()
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    joined_up = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), crc.alias("text_crc"), F.col("text").cast("string").alias("text"))
+    joined_up = rows.join(spans, rows["id"].eqNullSafe(spans["doc_id"]) & (rows["text_crc"] == spans["crc"]), "left")
 
     @F.pandas_udf("string")
     def redacted(text, spans):
@@ -230,4 +231,5 @@ def sanitize(docs: DataFrame, **options) -> DataFrame:
 
         return pd.Series([t if not s else redact(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    return joined_up.withColumn("text", redacted("text", "_spans")).select(*docs.columns)
+    out = joined_up.select("row", redacted("text", "spans").alias("text"))
+    return out.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
