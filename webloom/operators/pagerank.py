@@ -1,8 +1,10 @@
 """PageRank by power iteration: global or personalised.
 
-Edges are weighted by 1 / out-degree once, dealt by source and kept. A state row is (id, rank, inflow);
-the next rank is an expression over it, so an iteration is one join and one aggregation, and the
-mass of dangling nodes, 1 - sum(inflow), and the change come from narrow sums over the state.
+Edges are dealt by source once, parallel ones merged and weighted by their share of the out-degree,
+and kept in that layout. A state row is (id, w, rank, inflow); the next rank is an expression over it,
+so an iteration is one join and one aggregation, and the mass of dangling nodes, 1 - sum(inflow), and
+the change come from narrow sums over the state. Each state is stored in the shared folder: lineage
+and plans don't grow, and a lost executor costs a reread.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.operators.graph import out_degrees
-from webloom.session import snapshot
+from webloom.session import remove_path, scratch_path, snapshot
+
+STATE = "id long, w double, rank double, inflow double"
 
 
 def validate_teleport(teleport: DataFrame, n_vertices: int) -> None:
@@ -56,7 +60,8 @@ def power_iteration(
 
     rank' = (1-d)/n + d*D/n + d*inflow; with a teleport vector w: ((1-d) + d*D)*w + d*inflow, where D
     is the mass of nodes without edges out. start (id, rank) resumes from a snapshot. n_vertices
-    overrides the count of nodes. The result is stored in the shared folder.
+    overrides the count of nodes. Every checkpoint_every-th state stays in the shared folder until the
+    session ends, to resume from; the others go once they have been used. So does the result stay.
     """
     if not 0 < damping < 1:
         raise ValueError(f"damping {damping} is not in (0, 1)")
@@ -65,10 +70,13 @@ def power_iteration(
         raise ValueError("the graph has no nodes")
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    degree = out_degrees(edges).select(F.col("id").alias("from_id"), (F.lit(1.0) / F.col("out_degree")).alias("share"))
-    weighted = edges.join(degree, "from_id").select("from_id", "to_id", "share")
-    weighted = weighted.repartition(edge_partitions, "from_id") if edge_partitions else weighted
-    weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = edges.sparkSession
+    partitions = edge_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = edges.select("from_id", "to_id").repartition(partitions, "from_id")
+    degree = out_degrees(dealt).select(F.col("id").alias("from_id"), "out_degree")
+    merged = dealt.groupBy("from_id", "to_id").agg(F.count(F.lit(1)).alias("n"))
+    weighted = merged.join(degree, "from_id").select("from_id", "to_id", (F.col("n") / F.col("out_degree")).alias("share"))
+    weighted = weighted.repartition(partitions, "from_id").persist(StorageLevel.MEMORY_AND_DISK)
     if teleport is None:
         base = nodes.select("id", F.lit(1.0 / n).alias("w"))
     else:
@@ -90,25 +98,21 @@ def power_iteration(
         ranks = base.select("id", "w", F.col("w").alias("rank"))
     else:
         ranks = base.join(start.select("id", "rank"), "id")
-    held: list[DataFrame] = []
+    stored: list[str] = []
     try:
         for step in range(1, max_iter + 1):
-            state = state_of(ranks)
-            cut = step % checkpoint_every == 0
-            state = snapshot(state, "pagerank") if cut else state.persist(StorageLevel.MEMORY_AND_DISK)
+            path = scratch_path(spark, "pagerank")
+            state_of(ranks).write.parquet(path)
+            state = spark.read.schema(STATE).parquet(path)
+            while stored:
+                remove_path(spark, stored.pop())
+            if step % checkpoint_every:
+                stored.append(path)
             dangling = 1.0 - (state.agg(F.sum("inflow")).first()[0] or 0.0)
             ranks = state.select("id", "w", next_rank(dangling).alias("rank"))
-            done = False
-            if tol > 0:
-                done = (state.agg(F.sum(F.abs(next_rank(dangling) - F.col("rank")))).first()[0] or 0.0) < tol
-            if cut:
-                while held:
-                    held.pop().unpersist()
-            else:
-                held.append(state)
-            if done:
+            if tol > 0 and (state.agg(F.sum(F.abs(next_rank(dangling) - F.col("rank")))).first()[0] or 0.0) < tol:
                 break
         return snapshot(ranks.select("id", "rank"), "ranks")
     finally:
-        for df in (*held, weighted, base):
+        for df in (weighted, base):
             df.unpersist()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from typing import Any
 from urllib.parse import urlparse
 
@@ -46,14 +47,11 @@ def write_link_sample(links: DataFrame, path: str, fraction: float, seed: int =
 def metrics_path(output: str) -> str:
     """Where a dataset's metrics go: <parent>/_metrics/<leaf>. A scheme's root has no parent."""
     trimmed = output.rstrip("/")
-    scheme, _, rest = trimmed.partition("://")
-    parts = (rest if "://" in trimmed else trimmed).split("/")
-    needed = 3 if "://" in trimmed and rest else 2
-    if not trimmed or (("://" in trimmed) and len(parts) < needed - 1) or not parts[-1] or ("://" in trimmed and len(parts) < 2):
+    root = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/*", output)
+    parent, _, leaf = trimmed.rpartition("/")
+    if not leaf or (root and len(parent) < len(root[0])):
         raise ConfigError(f"no place for metrics beside {output!r}")
-    parent = "/".join(parts[:-1])
-    prefix = f"{scheme}://" if "://" in trimmed else ""
-    return f"{prefix}{parent}{'/' if parent or trimmed.startswith('/') else ''}_metrics/{parts[-1]}"
+    return f"{trimmed[: len(trimmed) - len(leaf)]}_metrics/{leaf}"
 
 
 def resolve_path(path: str, prefix: str) -> str:
