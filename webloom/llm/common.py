@@ -20,17 +20,15 @@ ARROW_ROWS = "1000"
 FALLBACK_DIR = "file:///tmp/checkpoints/webloom"
 
 
+#: White space of str.split() that doesn't separate words here.
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
 def words_of(text: str | None) -> list[str]:
     """Words of a text; None has none. Splits at ASCII white space only."""
     if not text:
         return []
-    if text.isascii() and not _ODD_ASCII.search(text):
-        return text.split()
-    return WORD_RE.findall(text)
-
-
-#: ASCII characters at which str.split() would also split.
-_ODD_ASCII = re.compile(r"[\x1c-\x1f]")
+    return WORD_RE.findall(text) if _ODD_SPACE.search(text) else text.split()
 
 
 def tune(spark: SparkSession) -> None:
