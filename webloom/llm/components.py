@@ -21,10 +21,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     spark = links.sparkSession
     edges = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo").distinct()
     edges = materialize(edges, "links")
-    nodes = None
     seen = None
     for _ in range(most_rounds):
-        edges = _large_star(edges)
+        edges = materialize(_large_star(edges), "links")
         edges = materialize(_small_star(edges), "links")
         free_shuffles(spark)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("hi", "lo").cast("long")), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
@@ -41,12 +40,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = materialize(least, "least")  # a stored side leaves the join plain exchanges, which AQE can split
     up = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).join(least, "u")
     return up.where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = materialize(edges.groupBy("hi").agg(F.min("lo").alias("m")), "least")
     down = edges.join(least, "hi")
     handed = down.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return handed.union(least.select("hi", F.col("m").alias("lo"))).distinct()

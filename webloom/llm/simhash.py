@@ -212,7 +212,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # a node is its fingerprint; component ids come from the documents' ids below
     found = components(links(distinct.select("fp", F.col("fp").alias("node"))))
     named = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = materialize(named, "named-fingerprints")
+    ids = materialize(named.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
     resolved = named.join(ids, "component").select("fp", "component_id")
     return prints.join(resolved, "fp").select("doc_id", "fp", "component_id")
 
