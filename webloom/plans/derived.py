@@ -22,12 +22,17 @@ def vertices(spark: SparkSession, sf: str) -> DataFrame:
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
     """Supplier -> customer for kept line items, customer -> supplier for returned ones of finished orders. Parallel edges stay."""
+    return crawl_edges(spark, sf).select("from_id", "to_id")
+
+
+def crawl_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """The same edges, each seen in one of three crawls."""
     n = t(spark, sf, "supplier").count()
-    rows = t(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag").join(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = t(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_linenumber").join(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
     back = (F.col("l_returnflag") == "R") & (F.col("o_orderstatus") == "F")
     rows = rows.where((F.col("l_returnflag") != "R") | back)
     s, c = F.col("l_suppkey"), F.col("o_custkey") + n
-    return rows.select(F.when(back, c).otherwise(s).alias("from_id"), F.when(back, s).otherwise(c).alias("to_id"))
+    return rows.select(F.when(back, c).otherwise(s).alias("from_id"), F.when(back, s).otherwise(c).alias("to_id"), F.concat(F.lit("crawl-"), F.col("l_linenumber") % 3).alias("crawl"))
 
 
 GRAPH_SQL = """
@@ -42,6 +47,10 @@ O AS (SELECT from_id AS id, count(*) AS out_degree FROM E GROUP BY 1),
 I AS (SELECT to_id AS id, count(*) AS in_degree FROM E GROUP BY 1)"""
 
 
+#: The graph of the two latest crawls, merged.
+WINDOW_GRAPH_SQL = GRAPH_SQL.replace("E AS (SELECT CASE", "E AS (SELECT DISTINCT CASE").replace("WHERE l_returnflag <> 'R' OR o_orderstatus = 'F'", "WHERE (l_returnflag <> 'R' OR o_orderstatus = 'F') AND l_linenumber % 3 > 0")
+
+
 def rank_sql(weights: str, name: str) -> str:
     """Recursive CTEs of ITERATIONS steps; weights is SQL of (id, w) for every node."""
     return f"""

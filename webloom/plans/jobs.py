@@ -65,6 +65,20 @@ def personalised_authority(
     sinks.write_crawl_partitions(authority_rows(vertices, ranks, graph.in_degrees(nodes, edges), crawl), out)
 
 
+def windowed_pagerank(vertices: DataFrame, edges: DataFrame, window: DataFrame, window_id: str, params: Authority | None = None, **tuning: Any) -> DataFrame:
+    """cc_domain_pagerank rows of a window of several crawls: their graphs merged, metrics computed anew.
+
+    edges: (from_id, to_id, crawl); window: (crawl), as select_window gives it. A link counts once.
+    """
+    from webloom.operators.crawls import merged_edges
+
+    p = params or Authority()
+    merged = snapshot(merged_edges(edges, window), "window-edges")
+    nodes = vertices.select("id")
+    ranks = power_iteration(merged, nodes, max_iter=p.max_iter, tol=tuning.pop("tol", p.tol), damping=p.damping, **tuning)
+    return pagerank_rows(vertices, ranks, graph.degrees(nodes, merged), window_id)
+
+
 def backlinks(spark: SparkSession, list_path: str, prefix: str, out: str, crawl: str, run_id: str = "") -> dict[str, Any]:
     """cc_domain_link_pairs of one crawl from listed WAT files; metrics go beside it and are returned."""
     guard_output(out)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webloom.config import Authority
 from webloom.functions import psl, urls
 from webloom.operators import crawls, dq, graph, languages, links, profiles, publish, rankstats, recall, reference, sampling, scope, seeds
 from webloom.operators.pagerank import power_iteration
@@ -669,6 +670,18 @@ def crawl_link_status(spark, sf):
     return crawls.link_status(rows, ["domain", "target"], "domain", latest, rows.where("target = 'error'").select("target"), "target")
 
 
+@query(
+    f"""WITH RECURSIVE {d.WINDOW_GRAPH_SQL}, {d.rank_sql(GLOBAL_W, "G")}
+SELECT V.domain, 'crawl-2' AS crawl, round(G.rank, 10) AS pagerank_score, coalesce(I.in_degree, 0)::BIGINT AS in_degree, coalesce(O.out_degree, 0)::BIGINT AS out_degree
+FROM G JOIN V ON G.id = V.id LEFT JOIN I ON V.id = I.id LEFT JOIN O ON V.id = O.id WHERE G.step = {d.ITERATIONS}"""
+)
+def crawl_window_pagerank(spark, sf):
+    e = d.crawl_edges(spark, sf)
+    window = e.select("crawl").distinct().orderBy(F.desc("crawl")).limit(2)
+    out = jobs.windowed_pagerank(d.vertices(spark, sf), e, window, "crawl-2", Authority(max_iter=d.ITERATIONS), tol=0.0)
+    return out.withColumn("pagerank_score", F.round("pagerank_score", 10))
+
+
 @query(f"WITH {d.CRAWL_SQL} SELECT domain, count(DISTINCT crawl)::BIGINT AS crawls_active FROM C GROUP BY 1 HAVING count(DISTINCT crawl) >= 2")
 def crawl_active_domains(spark, sf):
     return crawls.active_in(d.crawl_rows(spark, sf), "domain", 2)
