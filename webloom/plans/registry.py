@@ -95,9 +95,9 @@ def graph_statistics(spark, sf):
     return stats.select("n_nodes", "n_edges", "in_max", "dangling_ratio")
 
 
-@query()
+@query(f"WITH {d.GRAPH_SQL} SELECT quantile_disc(in_degree, 0.5)::BIGINT AS in_p50, quantile_disc(in_degree, 0.9)::BIGINT AS in_p90, quantile_disc(in_degree, 0.99)::BIGINT AS in_p99, quantile_disc(in_degree, 0.999)::BIGINT AS in_p999 FROM I")
 def graph_in_degree_quantiles(spark, sf):
-    return graph.graph_stats(d.vertices(spark, sf).select("id"), d.edges(spark, sf)).select("in_p50", "in_p90", "in_p99", "in_p999")
+    return graph.graph_stats(d.vertices(spark, sf).select("id"), d.edges(spark, sf), 100_000).select("in_p50", "in_p90", "in_p99", "in_p999")
 
 
 HOSTS = "M AS (SELECT id, 'd' || (id % 37) || '.net' AS domain, id < 37 AS is_apex FROM V)"
@@ -742,10 +742,16 @@ def mart_backlinks(spark, sf):
     return out.select("domain_to", "url_from", "url_to", "crawl", "is_dofollow", "is_cross_language", "first_seen")
 
 
-@query()
+@query(
+    f"""WITH {d.LINKS_SQL}, Y AS (SELECT url_from, url_to, min(crawl) AS first_seen_crawl, max(crawl) AS last_seen_crawl, count(DISTINCT crawl)::BIGINT AS crawls_active FROM R GROUP BY 1, 2), A AS (SELECT DISTINCT url_from FROM R WHERE crawl = '2024-04'),
+K AS (SELECT DISTINCT domain_from AS domain FROM R)
+SELECT domain_from, domain_to AS target_domain, R.url_from, R.url_to, R.crawl, bool_and(NOT nf) AS is_dofollow, any_value(first_seen_crawl) AS first_seen_crawl, any_value(last_seen_crawl) AS last_seen_crawl, any_value(crawls_active) AS crawls_active,
+any_value(last_seen_crawl) = '2024-04' AS is_active, any_value(last_seen_crawl) <> '2024-04' AND R.url_from IN (SELECT url_from FROM A) AS is_lost, domain_to IN (SELECT domain FROM K) AS is_target_indexed
+FROM R JOIN Y ON R.url_from = Y.url_from AND R.url_to = Y.url_to GROUP BY domain_from, domain_to, R.url_from, R.url_to, R.crawl"""
+)
 def mart_outbound_links(spark, sf):
     rows = snapshot(links.resolve_domains(d.links(spark, sf)), "links")
     inside = rows.select(F.col("domain_from").alias("domain")).distinct()
     known = inside.select("domain", F.lit(0.1).alias("pagerank_score"), F.lit(0.2).alias("open_authority"), F.lit(3).cast("long").alias("in_degree"))
     out = profiles.outbound_mart(rows, inside, languages.domain_languages(_site_languages(spark, sf)), known, "2024-04")
-    return out.drop("source_languages", "target_languages")
+    return out.select("domain_from", "target_domain", "url_from", "url_to", "crawl", "is_dofollow", "first_seen_crawl", "last_seen_crawl", "crawls_active", "is_active", "is_lost", "is_target_indexed")
