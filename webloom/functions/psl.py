@@ -51,12 +51,15 @@ def suffix_rules(path: str | None = None) -> tuple[tuple[str, str], ...]:
 
 
 def rules_frame(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The rules as rows (suffix, drop): drop is how many labels the public suffix differs by.
+    """The rules as rows (suffix, extra): extra is how many labels the public suffix has beyond its rule's.
 
     A wildcard adds a label to its suffix, an exception takes one off.
     """
-    drops = {"exact": 0, "wildcard": 1, "exception": -1}
-    return spark.createDataFrame([(s, drops[k]) for s, k in suffix_rules(path)], "suffix string, extra int")
+    import pyarrow as pa
+
+    extra = {"exact": 0, "wildcard": 1, "exception": -1}
+    rules = suffix_rules(path)
+    return spark.createDataFrame(pa.table({"suffix": [s for s, _ in rules], "extra": pa.array([extra[k] for _, k in rules], pa.int32())}))
 
 
 def ascii_host(raw):
