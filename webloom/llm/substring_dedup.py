@@ -157,6 +157,7 @@ def factor_marks(blocks: DataFrame) -> DataFrame:
     shared = blocks.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor")
     shared = materialize(shared, "shared-anchors")  # stored, so that the join's sides are plain exchanges, which AQE can split
     near = materialize(blocks.drop("sha").join(shared, "anchor", "left_semi"), "shared-blocks")
+    free_shuffles(blocks.sparkSession)
     first = near.groupBy("anchor", "block").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
     first = materialize(first, "first-blocks")
     return near.join(first, ["anchor", "block"], "left").select("id", "crc", "lo", "hi", "n", F.coalesce(F.col("least") < F.col("id"), F.lit(False)).alias("factor"))
@@ -210,6 +211,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     windows = materialize(compared_windows(marked, window), "windows")
     first = windows.groupBy("h", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
     first = materialize(first, "first-windows")
+    free_shuffles(spark)
     hits = windows.join(first, ["h", "h2"]).where(F.col("least") < F.col("id")).groupBy("id", "crc").agg(F.sort_array(F.collect_set("pos")).alias("hits"))
     factors = F.transform(F.filter("marks", lambda m: m.factor), lambda m: F.struct(m.lo.alias("lo"), m.hi.alias("hi")))
     singles = F.transform(F.coalesce("hits", F.array().cast("array<int>")), lambda p: F.struct(p.alias("lo"), p.alias("hi")))
