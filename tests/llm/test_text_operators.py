@@ -70,6 +70,25 @@ def test_terms_that_give_an_entity_away(spark):
     assert clean[60] == "[...] only0 [EMAIL]" and clean[10] == text[10]
 
 
+@pytest.mark.parametrize("broadcast_up_to", [50_000, 0])
+def test_terms_are_spanned_away_from_their_entity(spark, monkeypatch, broadcast_up_to):
+    monkeypatch.setattr(pii.term_spans, "__defaults__", (broadcast_up_to,))
+    rows = [(i, f"Zorblax only{i} same@y.org") for i in range(60)]
+    rows += [(100, "nobody here but (ZORBLAX), zorblax's and zorblax"), (None, "É zorblax"), (101, "zorblax@b.org zorblax"), (102, "a zorblaxian speaks")]
+    rows += [(103, "zorblax same@y.org " + "word " * 40 + "zorblax.")]
+    rows += [(200 + i, "filler text of the corpus " * 100) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    assert out[100].spans == "term:17:24,term:41:48"
+    assert out[None].spans == "term:2:9"
+    assert out[101].spans == "email:0:13,term:14:21"
+    assert out[102].spans == ""
+    assert out[103].spans == "email:8:18,term:0:7,term:219:226"
+    clean = {r.doc_id: r.text for r in pii.sanitize(docs).collect()}
+    assert clean[100] == "nobody here but ([...]), zorblax's and [...]" and clean[None] == "É [...]"
+    assert len(out) == len(rows) and clean[200] == rows[-20][1]
+
+
 def test_personal_data_of_odd_rows(odd, clashing, nothing):
     out = pii.find_personal_data(odd)
     assert out.count() == odd.count()

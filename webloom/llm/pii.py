@@ -6,10 +6,12 @@ much it tells is estimated from the whole corpus: with c(t, e) the occurrences o
 `reach` words of entity e and c(t) all occurrences of t, the pointwise mutual information of t and e
 is IC(e) + log2(c(t, e) / c(t)), where IC(e) is the information of e itself. A term that keeps a
 share of at least `threshold` of IC(e), near at least `min_texts` different texts' mentions of e,
-discloses e, and its occurrences near e become spans of kind term.
+discloses e, and each of its occurrences in any text becomes a span of kind term, with or without e
+beside it.
 
-Texts are read twice and never shuffled: once for patterns and the terms around them, once to count
-the terms in question. Only the few candidate terms and spans travel.
+Texts are read three times: for patterns and the terms around them, to count the terms in question,
+and to find every occurrence of the disclosing ones. Only the few candidate terms and spans travel,
+unless the disclosing terms are too many to be broadcast.
 """
 
 from __future__ import annotations
@@ -85,8 +87,8 @@ def joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def nearby_terms(text: str, spans, reach: int) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) of every term within `reach` terms of a base span, none overlapping one.
+def nearby_terms(text: str, spans, reach: int) -> list[tuple[int, str]]:
+    """(entity, term) of every term within `reach` terms of a base span, none overlapping one.
 
     An entity is the hash of its kind and value, so all of its mentions share it.
     """
@@ -123,13 +125,13 @@ def nearby_terms(text: str, spans, reach: int) -> list[tuple[int, str, int, int]
                     n += 1
                 if n == reach:
                     break
-        out += [(entity, text[a:b].lower(), a, b) for a, b in picked]
+        out += [(entity, text[a:b].lower()) for a, b in picked]
     return out
 
 
 FOUND = (
     "doc_id long, crc long, n_email long, n_ip long, n_card long, n_phone long, base string, n_terms long, "
-    "near array<struct<entity: long, term: string, start: int, stop: int>>"
+    "near array<struct<entity: long, term: string>>"
 )
 
 
@@ -137,12 +139,12 @@ def find_entities(docs: DataFrame, reach: int) -> DataFrame:
     """Base spans of each row and the terms around them."""
 
     def run(batches):
-        near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
+        near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())]))
         for batch in batches:
             out: list[list] = [[] for _ in range(9)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
-                near = [{"entity": e, "term": t, "start": a, "stop": b} for e, t, a, b in nearby_terms(text, spans, reach)] if spans else []
+                near = [{"entity": e, "term": t} for e, t in nearby_terms(text, spans, reach)] if spans else []
                 counts = [sum(k == kind for k, _, _ in spans) for kind in KINDS]
                 n_terms = text.count(" ") + text.count("\n") + 1 if text else 0
                 row = (doc_id, zlib.crc32((text or "").encode()), *counts, joined(spans), n_terms, near)
@@ -182,18 +184,52 @@ def disclosing(found: DataFrame, docs: DataFrame, threshold: float, min_texts: i
     return joined_up.where((information > 0) & (mutual >= threshold * information)).select("entity", "term")
 
 
+def occurrences(text: str, known) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every occurrence of a known term (None: of every term), but those inside a base span."""
+    if known is not None and text.isascii() and known.isdisjoint(_TERM.findall(text.lower())):
+        return []
+    found = [(t, m.start(), m.end()) for m in _TERM.finditer(text) if (t := m[0].lower()) and (known is None or t in known)]
+    covered = [(s, e) for _, s, e in base_spans(text)] if found else []
+    return [x for x in found if not any(s <= x[1] and x[2] <= e for s, e in covered)] if covered else found
+
+
+def term_spans(docs: DataFrame, terms: DataFrame, broadcast_up_to: int = 50_000) -> DataFrame:
+    """(doc_id, crc, start, stop): every occurrence of the given distinct terms in the whole texts.
+
+    Up to a checked number of terms they are broadcast and only their occurrences travel; beyond it
+    all terms of the texts are joined with them.
+    """
+    known = frozenset(r.term for r in terms.collect()) if terms.count() <= broadcast_up_to else None
+
+    def run(batches):
+        for batch in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = occurrences(text, known) if text else []
+                crc = zlib.crc32(text.encode()) if found else 0
+                for term, start, stop in found:
+                    for column, value in zip(out, (doc_id, crc, term, start, stop), strict=True):
+                        column.append(value)
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "crc", "term", "start", "stop"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spans = texts.mapInArrow(run, "doc_id long, crc long, term string, start int, stop int")
+    return (spans if known is not None else spans.join(terms, "term", "left_semi")).drop("term")
+
+
 def find_personal_data(docs: DataFrame, reach: int = 8, threshold: float = 0.95, min_texts: int = 3) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base, spans, crc for each row of docs (doc_id, text).
 
-    base and spans are kind:start:end lists in code points; spans adds the disclosing terms. Null and
+    base and spans are kind:start:end lists in code points; spans adds all occurrences of disclosing terms, wherever they stand. Null and
     empty texts have none. Repeated rows count as one text for min_texts and come out once each. A
     null doc_id is carried through. An empty table gives no rows.
     """
     tune(docs.sparkSession)
     found = materialize(find_entities(docs, reach), "entities")
     pairs = disclosing(found, docs, threshold, min_texts)
-    near = found.where(F.size("near") > 0).select("doc_id", "crc", F.explode("near").alias("x")).select("doc_id", "crc", "x.*")
-    hits = near.join(pairs, ["entity", "term"], "left_semi").groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("terms"))
+    terms = materialize(pairs.select("term").distinct(), "disclosing")
+    hits = term_spans(docs, terms).groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("terms"))
     listed = F.concat_ws(",", F.transform("terms", lambda t: F.concat_ws(":", F.lit(TERM), t.start.cast("string"), t.stop.cast("string"))))
     hits = hits.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), listed.alias("_terms"))
     rows = found.drop("near", "n_terms").join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")), "left")
