@@ -243,6 +243,25 @@ def test_search_finds_what_brute_force_finds(spark, sf):
     assert got == want
 
 
+def test_copies_in_foreign_text_are_found_like_by_brute_force(spark):
+    """Short items and items of common words, whose windows' cosines are low beside rare words."""
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(20)]
+    items = [(n * 10 + j, " ".join(rng.choice(common) if j else f"s{n}x{i}" for i in range(n))) for n in (1, 2, 3, 4, 5, 6, 7) for j in range(3)]
+    items += [(100 + i, " ".join(rng.choice(common) for _ in range(rng.randint(8, 50)))) for i in range(12)] + [(200, _prose(rng, 300))]
+    docs = [(i, _prose(rng, 300)) for i in range(40)]
+    for i in range(4 * len(items)):
+        w = [f"rare{i}x{j}" for j in range(rng.choice([0, 5, 40, 300]))]
+        at = rng.randint(0, len(w))
+        docs.append((100 + i, " ".join(w[:at] + items[i % len(items)][1].split() + w[at:])))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.lcs for r in decontaminate.contaminated(*frames).collect()}
+    copies = {(d, i) for d, text in docs for i, item in items if f" {item} " in f" {text} "}
+    assert copies - got.keys() == set()
+    assert {(d, i) for d, i in got if i < 100} == {(d, i) for d, i in copies if i < 100}
+    assert all(got[x] == 1 for x in copies)
+
+
 def test_benchmark_odd_rows(spark, odd, clashing, nothing):
     base = odd.where("doc_id = 0").first().text
     benchmark = spark.createDataFrame([(1, " ".join(base.split()[20:60]), "x"), (2, None, "x"), (3, "", "x"), (4, "of", "x"), (1, " ".join(base.split()[20:60]), "y")], "item_id long, text string, doc_id string")
