@@ -262,6 +262,26 @@ def test_copies_in_foreign_text_are_found_like_by_brute_force(spark):
     assert all(got[x] == 1 for x in copies)
 
 
+@pytest.mark.parametrize("fit", [100, 20])
+def test_recall_of_a_sampled_index(spark, monkeypatch, fit):
+    """Copies and paraphrases are found with an index fitted on few documents; document frequencies are of all."""
+    import zlib
+
+    docs, benchmark, rows, _, leaks = _planted(spark)
+    given, fitted = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "FIT_DOCUMENTS", fit)
+    monkeypatch.setattr(decontaminate, "latent_space", lambda texts, idf: given.append((texts.count(), idf)) or fitted(texts, idf))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs.repartition(5), benchmark).collect()}
+    assert got == leaks
+    n, counts = 0, np.zeros(decontaminate.FEATURES)
+    for _, text in rows:
+        w = decontaminate.normal_words(text)
+        for at in range(0, len(w), decontaminate.PASSAGE):
+            n += 1
+            counts[list({zlib.crc32(x.encode()) % decontaminate.FEATURES for x in w[at : at + decontaminate.PASSAGE]})] += 1
+    assert 0 < given[0][0] < 200 and np.allclose(given[0][1], np.log((1 + n) / (1 + counts)))
+
+
 def test_benchmark_odd_rows(spark, odd, clashing, nothing):
     base = odd.where("doc_id = 0").first().text
     benchmark = spark.createDataFrame([(1, " ".join(base.split()[20:60]), "x"), (2, None, "x"), (3, "", "x"), (4, "of", "x"), (1, " ".join(base.split()[20:60]), "y")], "item_id long, text string, doc_id string")
