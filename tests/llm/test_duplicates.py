@@ -215,6 +215,28 @@ def _planted(spark, seed=9):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), docs, items, leaks
 
 
+def test_word_tables_hold_normal_words(odd):
+    texts = [r.text for r in odd.collect()] + ["'a' -- (b) ...", "--", " x", "ÀÉ.Σ ΑΣ, \u00a0y\x1cz \u2028 İ", "q" * 50 + "!", None, "a\n\nb\x0bc"]
+    got = []
+    for base, table in decontaminate.word_tables(texts):
+        assert base == len(got)
+        firsts = table.first.tolist()
+        features = table.features().tolist()
+        for low, high in zip(firsts, firsts[1:], strict=False):
+            words = table.words(low, high)
+            got.append(words)
+            assert features[low:high] == [int(decontaminate.WordTable([w.encode()]).features()[0]) for w in words[:500]] + features[low + 500 : high]
+    assert got == [decontaminate.normal_words(t) for t in texts]
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    """Several blocks of items, several passes and tables of a text each find what one of each finds."""
+    docs, benchmark, *_, leaks = _planted(spark)
+    monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", 3)
+    monkeypatch.setattr(decontaminate, "ITEMS_A_PASS", 17)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()} == leaks
+
+
 def test_planted_leaks_are_found_and_nothing_else(spark):
     docs, benchmark, _, _, leaks = _planted(spark)
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()}
@@ -265,8 +287,6 @@ def test_copies_in_foreign_text_are_found_like_by_brute_force(spark):
 @pytest.mark.parametrize("fit", [100, 20])
 def test_recall_of_a_sampled_index(spark, monkeypatch, fit):
     """Copies and paraphrases are found with an index fitted on few documents; document frequencies are of all."""
-    import zlib
-
     docs, benchmark, rows, _, leaks = _planted(spark)
     given, fitted = [], decontaminate.latent_space
     monkeypatch.setattr(decontaminate, "FIT_DOCUMENTS", fit)
@@ -278,7 +298,7 @@ def test_recall_of_a_sampled_index(spark, monkeypatch, fit):
         w = decontaminate.normal_words(text)
         for at in range(0, len(w), decontaminate.PASSAGE):
             n += 1
-            counts[list({zlib.crc32(x.encode()) % decontaminate.FEATURES for x in w[at : at + decontaminate.PASSAGE]})] += 1
+            counts[list({int(decontaminate.WordTable([x.encode()]).features()[0]) for x in w[at : at + decontaminate.PASSAGE]})] += 1
     assert 0 < given[0][0] < 200 and np.allclose(given[0][1], np.log((1 + n) / (1 + counts)))
 
 
