@@ -54,12 +54,31 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends at replicated files."""
     spark = df.sparkSession
     path = new_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def part_of(stored: DataFrame, folder: str, schema: str) -> DataFrame:
+    """One folder of a partitioned stored frame as a frame of its own; empty if nothing was written there."""
+    spark, path = stored.sparkSession, f"{stored.stored_at}/{folder}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove stored frames that no later step reads: all that was made from them is stored itself."""
+    for df in stored:
+        at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -1,15 +1,18 @@
-"""Substring dedup by relative Lempel-Ziv factors over content-defined reference blocks.
+"""Substring dedup by relative Lempel-Ziv parsing against content-defined reference blocks.
 
 A window is `window` consecutive words. Each window has an anchor: among its k-grams of words the one
 of least hash. Windows of one document that share an anchor lie side by side; the words they cover
 are a block. So blocks cut the windows of a document into runs, by content alone, and a stretch that
 two documents share falls into the same blocks in both, except at its ends.
 
-Every block of every document is indexed. A document is factored against the index from left to
-right: blocks that also start in a document with a smaller doc_id join into factors, which are at
-least a window long. Where a factor ends, the blocks next to it are compared window by window, as the
-shared stretch may reach into them; that is needed only for blocks whose anchor another document has
-too. Windows found in a smaller doc_id, by block or by window, become duplicate spans.
+Every block of every document is indexed under the place of its first occurrence: the smallest doc_id
+that has it, and the first window there. A document is parsed from left to right, greedily: a block
+that a smaller doc_id has starts a factor, and each next block, and then each next window, prolongs it
+as long as its own reference goes on where the factor's ends. At a factor's boundaries, where the
+shared stretch may reach into blocks that differ as a whole, those blocks are compared window by
+window; that is needed only for blocks whose anchor another document has too. A factor is at least a
+window long. Words of factors are duplicate spans; the other words are literals, and factors and
+literals give the document back.
 
 Why this finds every duplicate window: if a window also starts in other documents, let m be the
 smallest. All of them have its anchor. In m its block can't be in a smaller document, so m's windows
@@ -18,19 +21,18 @@ there are compared one by one, and so are those of each document whose block isn
 What travels is one short row for each block (about one for 18 words) and one for each window that is
 compared; texts travel only to their own document's marks. All groups are folded to a minimum and a
 maximum with partial sums before the shuffle; no group is gathered, and joins on hashes that very
-many rows share are split by AQE.
+many rows share are split by AQE. Stored steps go as soon as the next one is stored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import free_shuffles, materialize, tune, words_of
+from webloom.llm.common import discard, free_shuffles, materialize, part_of, tune, words_of
 
 WINDOW = 50
 #: Words of a k-gram that can be an anchor.
@@ -44,7 +46,11 @@ _MASK = (1 << 64) - 1
 #: Words a worker keeps the hash of.
 KEPT_WORDS = 400_000
 
-BLOCKS = "anchor long, block long, id long, crc int, lo int, hi int, n int, sha string"
+BLOCKS = "anchor long, block long, id long, sig long, lo int, hi int, n int, sha string"
+#: Where a run of words starts: doc_id, then 31 bits of the text's hash, then its first word. A number of 126 bits.
+PLACE = "cast(id as decimal(19,0)) * 9223372036854775808 + cast((sig & 2147483647L) * 4294967296L + lo as decimal(19,0))"
+#: The place before all places of a doc_id.
+BEFORE = "cast(id as decimal(19,0)) * 9223372036854775808"
 
 
 class _WordHashes(dict):
@@ -120,6 +126,14 @@ def blocks_of(words: list[str], window: int = WINDOW, gram: int = GRAM):
     return grams[anchors[lo]].view(np.int64), block.view(np.int64), lo, hi
 
 
+def signature(text: str | None) -> int:
+    """Spark's xxhash64 of a text."""
+    import xxhash
+
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _ids(batch) -> list[int]:
     return [LAST if i is None else i for i in batch.column(0).to_pylist()]
 
@@ -135,128 +149,167 @@ def index_blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
             shas: list[str | None] = []
             for doc_id, text in zip(_ids(batch), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
-                crc = zlib.crc32((text or "").encode()) - (1 << 31)
+                sig = signature(text)
                 found = blocks_of(words, window, gram)
                 count = 0 if found is None else len(found[0])
                 head = [np.zeros(1, np.int64)] * 2 + [np.full(1, -1)] * 2
                 for column, first, rest in zip((0, 1, 4, 5), head, found or [np.empty(0, np.int64)] * 4, strict=True):
                     columns[column] += [first, rest]
-                for column, value in ((2, doc_id), (3, crc), (6, len(words))):
+                for column, value in ((2, doc_id), (3, sig), (6, len(words))):
                     columns[column].append(np.full(count + 1, value, np.int64))
                 shas += [hashlib.sha256(" ".join(words).encode()).hexdigest()] + [None] * count
-            types = [pa.int64()] * 3 + [pa.int32()] * 4
+            types = [pa.int64()] * 4 + [pa.int32()] * 3
             arrays = [pa.array(np.concatenate(c) if c else [], t) if c else pa.array([], t) for c, t in zip(columns, types, strict=True)]
             arrays = [a if a.type == t else a.cast(t) for a, t in zip(arrays, types, strict=True)]
-            yield pa.record_batch([*arrays, pa.array(shas, pa.string())], names=["anchor", "block", "id", "crc", "lo", "hi", "n", "sha"])
+            yield pa.record_batch([*arrays, pa.array(shas, pa.string())], names=["anchor", "block", "id", "sig", "lo", "hi", "n", "sha"])
 
     return docs.mapInArrow(run, BLOCKS)
 
 
+def _first(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys that two doc_ids or more have, and the place where each starts first."""
+    least = rows.groupBy(*keys).agg(F.min(F.expr(PLACE)).alias("ref"), F.max(F.expr(BEFORE)).alias("most"))
+    return least.where("ref < most").drop("most")
+
+
 def factor_marks(blocks: DataFrame) -> DataFrame:
-    """Blocks whose anchor is in two doc_ids or more: id, crc, lo, hi, n and factor, whether a smaller doc_id has the block."""
+    """Blocks whose anchor is in two doc_ids or more: id, sig, lo, hi, n and ref, the block's place in a smaller doc_id or null."""
     shared = blocks.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor")
     shared = materialize(shared, "shared-anchors")  # stored, so that the join's sides are plain exchanges, which AQE can split
-    near = materialize(blocks.drop("sha").join(shared, "anchor", "left_semi"), "shared-blocks")
+    near = materialize(blocks.join(shared, "anchor", "left_semi"), "shared-blocks")
+    discard(shared, blocks)
     free_shuffles(blocks.sparkSession)
-    first = near.groupBy("anchor", "block").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-    first = materialize(first, "first-blocks")
-    return near.join(first, ["anchor", "block"], "left").select("id", "crc", "lo", "hi", "n", F.coalesce(F.col("least") < F.col("id"), F.lit(False)).alias("factor"))
+    first = materialize(_first(near, "anchor", "block"), "first-blocks")
+    ref = F.when(F.col("ref") < F.expr(BEFORE), F.col("ref"))
+    marks = materialize(near.join(first, ["anchor", "block"], "left").select("id", "sig", "lo", "hi", "n", ref.alias("ref")), "block-marks")
+    discard(near, first)
+    return marks
 
 
 def compared_windows(marked: DataFrame, window: int) -> DataFrame:
-    """A row for each window to compare: h, h2, id, crc, pos. marked: id, crc, text, marks."""
+    """A row for each window to compare: h, h2, id, sig, lo. marked: id, sig, text, marks."""
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            for doc_id, crc, text, marks in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                open_runs = [m for m in marks if not m["factor"]]
+            for doc_id, sig, text, marks in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                open_runs = [m for m in marks if m["ref"] is None]
                 if not open_runs:
                     continue
                 words = words_of(text)
-                pos = np.concatenate([np.arange(m["lo"], m["hi"] + 1) for m in open_runs])
-                h = _Rolling(words).run(pos, pos + window).view(np.int64)
-                h2 = (_Rolling(words, _BASE2).run(pos, pos + window) >> np.uint64(33)).astype(np.int32)
+                at = np.concatenate([np.arange(m["lo"], m["hi"] + 1) for m in open_runs])
+                h = _Rolling(words).run(at, at + window).view(np.int64)
+                h2 = (_Rolling(words, _BASE2).run(at, at + window) >> np.uint64(33)).astype(np.int32)
                 yield pa.record_batch(
-                    [pa.array(h), pa.array(h2), pa.array(np.full(len(pos), doc_id, np.int64)), pa.array(np.full(len(pos), crc, np.int32)), pa.array(pos.astype(np.int32))],
-                    names=["h", "h2", "id", "crc", "pos"],
+                    [pa.array(h), pa.array(h2), pa.array(np.full(len(at), doc_id, np.int64)), pa.array(np.full(len(at), sig, np.int64)), pa.array(at.astype(np.int32))],
+                    names=["h", "h2", "id", "sig", "lo"],
                 )
 
-    return marked.select("id", "crc", "text", "marks").mapInArrow(run, "h long, h2 int, id long, crc int, pos int")
+    return marked.select("id", "sig", "text", "marks").mapInArrow(run, "h long, h2 int, id long, sig long, lo int")
 
 
-def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): rows has id, crc, n, sha for each row of docs; spans has id, crc, text and spans.
+def parse(pieces: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int]]:
+    """Greedy factors (first word, words, place of the reference) from matched runs of windows (lo, hi, place).
 
-    spans: array of (lo, hi) runs of windows that also start in a smaller doc_id. text is null where
-    the spans cover every word.
+    Runs are disjoint. A factor goes on while the next run follows it both here and in the reference.
+    Words that the factor before has already stay with that one.
+    """
+    factors: list[tuple[int, int, int]] = []
+    end = 0  # words parsed so far
+    low = high = place = None
+
+    def close():
+        nonlocal end
+        if low is not None:
+            start, stop = max(low, end), high + window
+            factors.append((start, stop - start, place + start - low))
+            end = stop
+
+    for lo, hi, ref in sorted(pieces):
+        if low is not None and lo == high + 1 and ref == place + lo - low:
+            high = hi
+        else:
+            close()
+            low, high, place = lo, hi, ref
+    close()
+    return factors
+
+
+def matched_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """(rows, runs): rows has id, sig, n, sha for each row of docs; runs has id, sig, text and pieces.
+
+    pieces: array of (lo, hi, ref), runs of windows that also start, at place ref, in a smaller doc_id.
+    text is null where the pieces cover every word.
     """
     spark = docs.sparkSession
     tune(spark)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.col("text").cast("string").alias("text"))
-    stored = materialize(index_blocks(texts, window, gram), "blocks")
-    rows = stored.where("lo < 0").select("id", "crc", "n", "sha")
-    marks = factor_marks(stored.where("lo >= 0"))
-    run = F.struct("lo", "hi", "factor")
-    by_doc = marks.groupBy("id", "crc", "n").agg(
-        F.array_sort(F.array_distinct(F.collect_list(run))).alias("marks"),
-    )
-    covered = F.aggregate(F.filter("marks", lambda m: m.factor), F.lit(0), lambda s, m: s + m.hi - m.lo + 1)
+    indexed = index_blocks(texts, window, gram).withColumn("head", F.col("lo") < 0)
+    stored = materialize(indexed, "blocks", "head")
+    rows = part_of(stored, "head=true", "id long, sig long, n int, sha string")
+    marks = factor_marks(part_of(stored, "head=false", "anchor long, block long, id long, sig long, lo int, hi int, n int"))
+    run = F.struct("lo", "hi", "ref")
+    by_doc = marks.groupBy("id", "sig", "n").agg(F.array_sort(F.array_distinct(F.collect_list(run))).alias("marks"))
+    covered = F.aggregate(F.filter("marks", lambda m: m.ref.isNotNull()), F.lit(0), lambda s, m: s + m.hi - m.lo + 1)
     by_doc = materialize(by_doc.withColumn("whole", covered == F.col("n") - (window - 1)), "marks")
-    crc = (F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")) - F.lit(1 << 31)).cast("int")
-    parts = by_doc.where("not whole").select("id", "crc", "marks")
-    marked = materialize(texts.join(parts, (texts.id == parts.id) & (crc == parts.crc)).select(parts.id, parts.crc, "text", "marks").dropDuplicates(["id", "crc"]), "marked-texts")
+    discard(marks)
+    parts = by_doc.where("not whole").select("id", "sig", "marks")
+    marked = materialize(texts.join(parts, (texts.id == parts.id) & (F.xxhash64("text") == parts.sig)).select(parts.id, parts.sig, "text", "marks").dropDuplicates(["id", "sig"]), "marked-texts")
     free_shuffles(spark)
     windows = materialize(compared_windows(marked, window), "windows")
-    first = windows.groupBy("h", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-    first = materialize(first, "first-windows")
+    first = materialize(_first(windows, "h", "h2"), "first-windows")
     free_shuffles(spark)
-    hits = windows.join(first, ["h", "h2"]).where(F.col("least") < F.col("id")).groupBy("id", "crc").agg(F.sort_array(F.collect_set("pos")).alias("hits"))
-    factors = F.transform(F.filter("marks", lambda m: m.factor), lambda m: F.struct(m.lo.alias("lo"), m.hi.alias("hi")))
-    singles = F.transform(F.coalesce("hits", F.array().cast("array<int>")), lambda p: F.struct(p.alias("lo"), p.alias("hi")))
-    partly = marked.join(hits, ["id", "crc"], "left").select("id", "crc", "text", F.concat(factors, singles).alias("spans"))
-    wholly = by_doc.where("whole").select("id", "crc", F.lit(None).cast("string").alias("text"), factors.alias("spans"))
-    return rows, partly.where(F.size("spans") > 0).unionByName(wholly)
+    hits = windows.join(first, ["h", "h2"]).where(F.col("ref") < F.expr(BEFORE)).groupBy("id", "sig").agg(F.collect_set(F.struct("lo", F.col("lo").alias("hi"), "ref")).alias("hits"))
+    hits = materialize(hits, "window-hits")
+    discard(windows, first)
+    factors = F.filter("marks", lambda m: m.ref.isNotNull())
+    partly = marked.join(hits, ["id", "sig"], "left").select("id", "sig", "text", F.when(F.col("hits").isNull(), factors).otherwise(F.concat(factors, "hits")).alias("pieces"))
+    wholly = by_doc.where("whole").select("id", "sig", F.lit(None).cast("string").alias("text"), F.col("marks").alias("pieces"))
+    return rows, partly.where(F.size("pieces") > 0).unionByName(wholly)
+
+
+FACTOR = "array<struct<start: int, n: int, ref_id: long, ref_start: int>>"
 
 
 def remove_duplicates(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_text (null where nothing was removed), kept_sha256 for each row.
+    """doc_id, n_words, n_removed, kept_text (null where nothing or everything was removed), kept_sha256, factors for each row.
 
-    Null and blank texts have no words. A null doc_id counts as larger than all others; rows of one
-    doc_id never remove each other's words. Repeated rows come out once each. No rows: no rows.
+    factors: (start, n, ref_id, ref_start), the words that are also words ref_start on of document
+    ref_id; null where there are none. Null and blank texts have no words. A null doc_id counts as
+    larger than all others; rows of one doc_id never remove each other's words. Repeated rows come out
+    once each; of rows of one doc_id, a 64-bit hash tells texts apart. No rows: no rows.
     """
-    rows, spans = duplicate_spans(docs, window, gram)
+    rows, runs = matched_runs(docs, window, gram)
 
     def cut(batches):
-        import numpy as np
-
+        factor = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("ref_id", pa.int64()), ("ref_start", pa.int32())])
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(factor))
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc_id, crc, text, runs in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            out: list[list] = [[] for _ in types]
+            for doc_id, sig, text, pieces in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                factors = parse([(p["lo"], p["hi"], int(p["ref"])) for p in pieces], window)
                 if text is None:
-                    kept, n_removed = "", -1
+                    kept = ""
                 else:
-                    words = words_of(text)
-                    edges = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edges, [r["lo"] for r in runs], 1)
-                    np.add.at(edges, [r["hi"] + window for r in runs], -1)
-                    stay = edges.cumsum()[:-1] == 0
-                    kept = " ".join([words[i] for i in np.flatnonzero(stay).tolist()])
-                    n_removed = int(len(words) - stay.sum())
-                for column, value in zip(out, (doc_id, crc, n_removed, kept, hashlib.sha256(kept.encode()).hexdigest()), strict=True):
+                    words, literals, at = words_of(text), [], 0
+                    for start, n, _ in factors:
+                        literals += words[at:start]
+                        at = start + n
+                    kept = " ".join(literals + words[at:])
+                listed = [{"start": a, "n": n, "ref_id": place >> 63, "ref_start": place & 0xFFFFFFFF} for a, n, place in factors]
+                for column, value in zip(out, (doc_id, sig, sum(n for _, n, _ in factors), kept, hashlib.sha256(kept.encode()).hexdigest(), listed), strict=True):
                     column.append(value)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["id", "crc", "n_removed", "kept", "kept_sha"])
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["id", "sig", "n_removed", "kept", "kept_sha", "factors"])
 
-    removed = spans.mapInArrow(cut, "id long, crc int, n_removed long, kept string, kept_sha string")
-    n_removed = F.when(F.col("n_removed") < 0, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0)))
-    return rows.join(removed, ["id", "crc"], "left").select(
+    removed = runs.mapInArrow(cut, f"id long, sig long, n_removed long, kept string, kept_sha string, factors {FACTOR}")
+    return rows.join(removed, ["id", "sig"], "left").select(
         F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"),
         F.col("n").cast("long").alias("n_words"),
-        n_removed.cast("long").alias("n_removed"),
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.col("kept").alias("kept_text"),
         F.coalesce("kept_sha", "sha").alias("kept_sha256"),
+        "factors",
     )
 
 
