@@ -171,6 +171,46 @@ def test_language_gradients():
         assert grads[k][at] == pytest.approx((up - down) / (2 * eps), rel=1e-3)
 
 
+def test_filter_tables_answer_like_a_plain_convolution():
+    """window_log_probs against the network written out: one dot product for each filter and place."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    p = {"emb": rng.normal(size=(256, langid.EMBEDDING)), "dense": rng.normal(size=(langid.FILTERS * len(langid.WIDTHS), 3)), "out": rng.normal(size=3)}
+    for w in langid.WIDTHS:
+        p[f"w{w}"], p[f"b{w}"] = rng.normal(size=(w * langid.EMBEDDING, langid.FILTERS)), rng.normal(size=langid.FILTERS)
+    data = bytes(rng.integers(0, 256, 600, np.uint8))
+    x, sizes = langid.windows_of(data)
+    assert sizes.tolist() == [256, 256, 88]
+    got = langid.window_log_probs(langid.compiled(["a", "b", "c"], p), x)
+    for n, window in enumerate(x):
+        hidden = []
+        for w in langid.WIDTHS:
+            for k in range(langid.FILTERS):
+                answers = [sum(float(p["emb"][window[at + j]] @ p[f"w{w}"][j * langid.EMBEDDING : (j + 1) * langid.EMBEDDING, k]) for j in range(w)) + p[f"b{w}"][k] for at in range(langid.WINDOW)]
+                hidden.append(max(0.0, max(answers)))
+        z = np.array(hidden) @ p["dense"] + p["out"]
+        assert got[n] == pytest.approx(z - np.log(np.exp(z - z.max()).sum()) - z.max(), abs=1e-3)
+
+
+@pytest.mark.parametrize("text", ["²", "½ ①", "Ⅷ", "12 _ 3", "٣", "", None])
+def test_texts_without_a_letter(text):
+    model = langid.train([(b"le chat est dans la maison", "fr"), (b"the cat is in the house", "en")], epochs=1)
+    assert langid.predict(model, [text, "½ a"])[0][0] == "und"
+    assert langid.predict(model, [text, "½ a"])[0][1] in ("en", "fr")
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    rows = [(None, f"²{'½' * 30}", "xx")] * 3 + [(None, "the same text again and again", "en")] * 300 + [(7, f"le texte numero {i} est ici", "fr") for i in range(300)] + [(i, f"{i}", "de") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    given = []
+    monkeypatch.setattr(langid, "train", lambda samples, **_: given.append(samples) or langid.Model([]))
+    for n in (1, 7):
+        langid.fit(docs.repartition(n), 40)
+    assert given[0] == given[1] and len(given[0]) <= 80
+    assert sum(lang == "en" for _, lang in given[0]) <= 1 and {lang for _, lang in given[0]} <= {"en", "fr"}
+
+
 def test_language_of_odd_rows(odd, clashing, nothing):
     out = langid.learn_and_identify(odd, 500)
     got = {r.doc_id: (r.lang_pred, r.score) for r in out.where("doc_id is not null").collect()}
@@ -267,6 +307,39 @@ def test_mined_rules_match_like_brute_force(spark):
         assert r.got == (fired[0] if fired else None)
 
 
+def brute_tokens(url):
+    host, path, *_ = brute_url(url)
+    url = url or ""
+    labels = host.split(".") if host else []
+    query = url.split("#")[0].partition("?")
+    tokens = {"host:" + ".".join(labels[-n:]) for n in range(1, len(labels) + 1)}
+    tokens |= {"path:" + "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in path.split("/") if w and not re.search("[0-9]", w)}
+    tokens |= {"query:" + k.split("=")[0] for k in query[2].split("&")} if query[1] else set()
+    return tokens | ({"mark:number"} if re.search("[0-9]", path) else set()) | ({"mark:fragment"} if "#" in url else set())
+
+
+def test_tokens_come_from_whole_urls(spark):
+    urls = [*URLS, "http://a.b.c.d.e.f.org/q/w/e/r/t/y/7/u?x=1&y&z=3&x=2#s?t=u", "http://h.net/A/b/?", "http://h.net#?k=1", "n?o=1&scheme"]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").withColumns({"host": url_filters.host_of(F.col("url")), "path": url_filters.path_of(F.col("url"))})
+    for r in rows.select("url", url_filters.url_tokens(F.coalesce("url", F.lit("")), F.col("host"), F.col("path")).alias("t")).collect():
+        assert len(r.t) == len(set(r.t)) and set(r.t) == brute_tokens(r.url), r.url
+
+
+def test_support_rises_until_no_url_holds_many_frequent_tokens(spark, monkeypatch):
+    import random
+
+    rng = random.Random(6)
+    monkeypatch.setattr(url_filters, "MOST_FREQUENT", 4)
+    rows = [(sorted(f"t{j}" for j in range(20) if rng.random() < 0.9 / (1 + j / 3)), rng.choice(["allow", "block"])) for _ in range(300)]
+    frame = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    counts = Counter(t for ts, _ in rows for t in ts)
+    most = lambda least: max(sum(counts[t] >= least for t in ts) for ts, _ in rows)
+    least = url_filters.least_count(frame, 300, 0.01)
+    assert most(least) <= 4 < most(least - 1)
+    monkeypatch.setattr(url_filters, "MOST_FREQUENT", 25)
+    assert url_filters.least_count(frame, 300, 0.01) == 3
+
+
 def test_no_labels_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://x.net/a"), (1, "http://x.net/a"), (None, None)], "page_id long, url string")
     assert [r.verdict for r in url_filters.judge_urls(pages).collect()] == ["allow"] * 3

@@ -31,7 +31,10 @@ EMBEDDING = 8
 SAMPLE_WINDOWS = 4000
 UNKNOWN = "und"
 
+#: Letters and numerals like ² or Ⅷ; which of them are letters isalpha says.
 _LETTER = re.compile(r"[^\W\d_]")
+#: Languages learned at most, the most frequent ones.
+MOST_LANGS = 500
 
 
 @dataclass
@@ -45,6 +48,11 @@ class Model:
     dense_bias: object = None
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter (Unicode categories L*); the same test for learning and answering."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def windows_of(data: bytes):
     """All windows of a text: an array of n x (WINDOW + widest - 1) bytes, zero-padded, and their byte counts."""
     import numpy as np
@@ -64,9 +72,8 @@ def train(samples: list[tuple[bytes, str]], epochs: int = 8, rate: float = 0.01,
     import numpy as np
 
     langs = sorted({lang for _, lang in samples})
-    model = Model(langs)
     if not langs:
-        return model
+        return Model(langs)
     rng = np.random.default_rng(seed)
     x = np.concatenate([windows_of(data[:WINDOW])[0] for data, _ in samples])
     number = {lang: i for i, lang in enumerate(langs)}
@@ -89,13 +96,18 @@ def train(samples: list[tuple[bytes, str]], epochs: int = 8, rate: float = 0.01,
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+    return compiled(langs, p)
+
+
+def compiled(langs: list[str], p: dict) -> Model:
+    """The model of trained parameters, with filters as tables of what each byte adds at each place."""
+    import numpy as np
+
     tables = np.zeros((max(WIDTHS), 256, FILTERS * len(WIDTHS)), np.float32)
     for i, w in enumerate(WIDTHS):
         for j in range(w):
             tables[j, :, i * FILTERS : (i + 1) * FILTERS] = p["emb"] @ p[f"w{w}"][j * EMBEDDING : (j + 1) * EMBEDDING]
-    model.tables, model.bias = tables, np.concatenate([p[f"b{w}"] for w in WIDTHS])
-    model.dense, model.dense_bias = p["dense"], p["out"]
-    return model
+    return Model(langs, tables, np.concatenate([p[f"b{w}"] for w in WIDTHS]), p["dense"], p["out"])
 
 
 def _gradients(p, x, y, weight):
@@ -171,7 +183,7 @@ def predict(model: Model, texts: list[str | None], batch_windows: int = 4096) ->
             waiting, n_waiting = [], 0
 
     for i, text in enumerate(texts):
-        if text is None or not _LETTER.search(text):
+        if text is None or not has_letter(text):
             continue
         x, sizes = windows_of(text.encode())
         for at in range(0, len(x), batch_windows):
@@ -189,33 +201,37 @@ def predict(model: Model, texts: list[str | None], batch_windows: int = 4096) ->
 
 
 def fit(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Model:
-    """Train on rows of docs (doc_id, text, lang): one window of each of a bounded sample of rows.
+    """Train on rows of docs (text, lang): one window of each of a bounded sample of rows.
 
-    Rows are picked by a hash of doc_id, as many of each language as an even share of the bound (all
-    rows where there are fewer). Null langs and texts without a letter are not learned from.
+    Texts are picked by their hash, as many of each language as an even share of the bound (all where
+    there are fewer); copies of a text teach once, however many there are, and what is more than twice
+    the bound goes in the order of a hash. Null langs and texts without a letter are not learned from.
+    At most MOST_LANGS languages are learned.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()}
     if not counts:
         return train([])
     share = max(1, sample_windows // len(counts))
     grain = 1 << 20
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(grain))
+    draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(grain))
     chances = F.create_map(*[v for k, n in sorted(counts.items()) for v in (F.lit(k), F.lit(min(grain, -(-share * grain // n))))])
-    picked = rows.where(draw < chances[F.col("lang")])
+    picked = rows.where(draw < F.try_element_at(chances, F.col("lang")))
 
     def cut(batches):
         for batch in batches:
             data, langs = [], []
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = text.encode()
-                start = zlib.crc32(raw) % max(1, len(raw) - WINDOW + 1)
-                data.append(raw[start : start + WINDOW])
-                langs.append(lang)
+                if has_letter(text):
+                    raw = text.encode()
+                    start = zlib.crc32(raw) % max(1, len(raw) - WINDOW + 1)
+                    data.append(raw[start : start + WINDOW])
+                    langs.append(lang)
             yield pa.record_batch([pa.array(data, pa.binary()), pa.array(langs, pa.string())], names=["data", "lang"])
 
-    sample = picked.select("text", "lang").mapInArrow(cut, "data binary, lang string").limit(2 * sample_windows).collect()
-    return train(sorted((bytes(r.data), r.lang) for r in sample))
+    sample = picked.mapInArrow(cut, "data binary, lang string").distinct()
+    kept = sample.orderBy(F.xxhash64("data", "lang"), "data", "lang").limit(2 * sample_windows).collect()
+    return train(sorted((bytes(r.data), r.lang) for r in kept))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
