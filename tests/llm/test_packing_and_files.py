@@ -80,8 +80,49 @@ def check_packing(rows, docs, capacity):
         assert {(r.piece, r.start, r.length, r.ids_crc32) for r in pieces} >= set(want)
 
 
+def test_shards_follow_pieces_and_repeated_rows_are_spread(spark):
+    text = "word " * 3000
+    docs = spark.createDataFrame([(1, text)] * 40 + [(None, None)] * 30, "doc_id long, text string").repartition(2)
+    rows = packing.pack_documents(docs, VOCABULARY, capacity=64, shard_pieces=200).collect()
+    shards = {}
+    for r in rows:
+        shards[r.sequence_id >> 32] = shards.get(r.sequence_id >> 32, 0) + 1
+    assert len(rows) == 40 * 47 + 30 and len(shards) >= 10 and max(shards.values()) < 400
+
+
+def test_capacities_bind_without_more_sequences():
+    """All three capacities hold, and an even spread of pieces costs next to no sequence."""
+    rng = np.random.default_rng(9)
+    for lengths in (rng.integers(1, 2000, 4000), np.minimum(rng.geometric(1 / 600, 4000), 4096), np.ones(5000, np.int64), rng.integers(1, 30, 6000)):
+        limits = packing.capacities(lengths, 4096, None, None, 8.0)
+        bins, _ = packing.best_fit(lengths, *limits)
+        count = np.bincount(bins)
+        cost = np.bincount(bins, weights=lengths.astype(float) ** 2)
+        assert np.bincount(bins, weights=lengths).max() <= 4096 and count.max() <= limits[1] and cost.max() <= limits[2]
+        assert bins.max() + 1 <= 1.01 * np.ceil(lengths.sum() / 4096) + 1
+    assert packing.capacities(np.full(100, 41), 4096, None, None, 1.0)[1] == 64 + 50
+    bins, _ = packing.best_fit(np.array([50, 50, 1, 1, 1, 1]), 100, 2, 10_000)  # documents bind
+    assert np.bincount(bins).tolist() == [2, 2, 2]
+    bins, _ = packing.best_fit(np.array([60, 30, 10]), 100, 9, 4000)  # attention binds
+    assert bins.tolist() == [0, 1, 0]
+
+
+def test_another_vocabulary_encodes_whole_texts(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    config = json.loads(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    config["normalizer"]["normalizers"].pop()  # keeps case
+    (tmp_path / "v.json").write_text(json.dumps(config))
+    e = tokens.TextEncoder(str(tmp_path / "v.json"))
+    assert not e.words and tokens.encoder(VOCABULARY).words
+    text = "Some Text's  words"
+    assert e.encode(text) == np.asarray(e.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_packing_of_odd_rows(odd, clashing, nothing):
-    rows = packing.pack_documents(odd, VOCABULARY, capacity=512, shard_documents=6).collect()
+    rows = packing.pack_documents(odd, VOCABULARY, capacity=512, shard_pieces=20).collect()
     docs = [(r.doc_id, r.text) for r in odd.collect()]
     check_packing(rows, docs, 512)
     assert sum(r.length for r in rows) == sum(len(direct(t)) + 1 for _, t in docs)
@@ -89,9 +130,18 @@ def test_packing_of_odd_rows(odd, clashing, nothing):
     assert packing.pack_documents(nothing, VOCABULARY).count() == 0
 
 
-def test_files_round_trip(odd, clashing, nothing):
+@pytest.mark.parametrize("file_tokens", [1 << 26, 500])
+def test_files_round_trip(odd, clashing, nothing, monkeypatch, file_tokens):
+    import xxhash
+
+    monkeypatch.setattr(arrow_files, "FILE_TOKENS", file_tokens)
+
+    def hashed(text):
+        h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+
     rows = arrow_files.round_trip(odd, VOCABULARY, seq_len=64).collect()
-    docs = sorted(((r.doc_id, r.text) for r in odd.collect()), key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, d[1] or ""))
+    docs = sorted(((r.doc_id, r.text) for r in odd.collect()), key=lambda d: (d[0] is not None, d[0] or 0, hashed(d[1])))
     start, want = 0, []
     for doc_id, text in docs:
         ids = np.append(direct(text), 2).astype("<u4")

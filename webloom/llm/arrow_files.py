@@ -4,7 +4,8 @@ A file holds record batches of equally long sequences: `ids`, a fixed-size list
 32-bit ids, and `mask`, a fixed-size list of booleans that is false where the last sequence is
 padded. Every batch but the last has the same number of sequences, so sequence s of a file lies in
 batch s // BATCH at row s % BATCH, and a memory map reads it without copying. Beside each file an
-index stream has doc_id, first token and token count. File names of committed tasks stand in a
+index stream has doc_id, first token and token count. A file ends at the first document beyond
+FILE_TOKENS, so its size doesn't grow with a task's share. File names of committed tasks stand in a
 manifest; files of failed or repeated attempts are in no manifest and are never read.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 import posixpath
 import uuid
 import zlib
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -26,7 +28,9 @@ from webloom.llm.tokens import encoder
 
 #: Sequences of a record batch.
 BATCH = 256
-MANIFEST = "part int, file string, n_documents long, n_tokens long, seq_len int"
+#: Tokens after which a task begins another file.
+FILE_TOKENS = 1 << 26
+MANIFEST = "part int, number int, file string, n_documents long, n_tokens long, seq_len int"
 READ_BACK = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -89,51 +93,83 @@ def write_token_files(
     """Write the ids of every text in ascending doc_id order; returns the manifest, itself stored beside the files.
 
     Rows are dealt by ranges of doc_id, so file numbers and rows within a file ascend. Rows of one
-    doc_id stand in the order of their texts. Null doc_id comes first; null text has the end id only.
+    doc_id stand in the order of a hash of their texts, and many of them are dealt to many files. Null
+    doc_id comes first; null text has the end id only.
     """
     spark = docs.sparkSession
     tune(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by_range = [rows.doc_id.asc_nulls_first()]
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    by_range = [rows.doc_id.asc_nulls_first(), rows.hash, rows.row]
     dealt = rows.repartitionByRange(files, *by_range) if files else rows.repartitionByRange(*by_range)
 
     def run(batches):
-        import numpy as np
-
         store, folder = _store(path)
-        encode = encoder(vocabulary)
-        bits = 16 if encode.tokenizer.get_vocab_size() <= 65536 and end_id < 65536 else 32
         part = TaskContext.get().partitionId()
-        name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        end = end_id.to_bytes(4, "little")
         store.create_dir(folder, recursive=True)
-        n_tokens = n_documents = 0
-        with store.open_output_stream(posixpath.join(folder, f"{name}.arrows")) as sink, store.open_output_stream(posixpath.join(folder, f"{name}.index")) as index_sink:
-            sequences = _Sequences(sink, bits, seq_len)
-            schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
-            index = pa.ipc.new_stream(index_sink, schema)
-            for batch in batches:
-                firsts, counts = [], []
-                for text in batch.column(1).to_pylist():
-                    ids = np.frombuffer(encode.encode(text) + end, "<u4")
-                    sequences.add(ids)
-                    firsts.append(n_tokens)
-                    counts.append(len(ids))
-                    n_tokens += len(ids)
-                n_documents += len(firsts)
-                index.write_batch(pa.record_batch([batch.column(0), pa.array(firsts, pa.int64()), pa.array(counts, pa.int64())], schema=schema))
-            sequences.close()
-            index.close()
-        yield pa.record_batch(
-            [pa.array([part], pa.int32()), pa.array([name]), pa.array([n_documents], pa.int64()), pa.array([n_tokens], pa.int64()), pa.array([seq_len], pa.int32())],
-            names=["part", "file", "n_documents", "n_tokens", "seq_len"],
-        )
-
-    return materialize(dealt.sortWithinPartitions(*by_range, "text").mapInArrow(run, MANIFEST), "token-manifest")
+        file, done = None, []
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                file = file or _FileWriter(store, folder, part, len(done), vocabulary, end_id, seq_len)
+                at += file.add(batch.slice(at))
+                if file.n_tokens >= FILE_TOKENS:
+                    done.append(file.close())
+                    file = None
+        if file:
+            done.append(file.close())
+        if done:
+            types = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+            names = ["part", "number", "file", "n_documents", "n_tokens", "seq_len"]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=names)
+
+    return materialize(dealt.sortWithinPartitions(*by_range).select("doc_id", "text").mapInArrow(run, MANIFEST), "token-manifest")
+
+
+class _FileWriter:
+    """One file of sequences and its index."""
+
+    def __init__(self, store, folder: str, part: int, number: int, vocabulary: str, end_id: int, seq_len: int):
+        self.encode = encoder(vocabulary)
+        self.end = end_id.to_bytes(4, "little")
+        bits = 16 if self.encode.tokenizer.get_vocab_size() <= 65536 and end_id < 65536 else 32
+        self.part, self.number, self.seq_len = part, number, seq_len
+        self.name = f"part-{part:06d}-{number:04d}-{uuid.uuid4().hex}"
+        self.sinks = [store.open_output_stream(posixpath.join(folder, f"{self.name}.{x}")) for x in ("arrows", "index")]
+        self.sequences = _Sequences(self.sinks[0], bits, seq_len)
+        self.schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
+        self.index = pa.ipc.new_stream(self.sinks[1], self.schema)
+        self.n_tokens = self.n_documents = 0
+
+    def add(self, batch) -> int:
+        """Documents (doc_id, text) of a batch up to the end of the file; how many were taken."""
+        import numpy as np
+
+        firsts, counts = [], []
+        for text in batch.column(1).to_pylist():
+            ids = np.frombuffer(self.encode.encode(text) + self.end, "<u4")
+            self.sequences.add(ids)
+            firsts.append(self.n_tokens)
+            counts.append(len(ids))
+            self.n_tokens += len(ids)
+            if self.n_tokens >= FILE_TOKENS:
+                break
+        self.n_documents += len(firsts)
+        ids = batch.column(0).slice(0, len(firsts))
+        self.index.write_batch(pa.record_batch([ids, pa.array(firsts, pa.int64()), pa.array(counts, pa.int64())], schema=self.schema))
+        return len(firsts)
+
+    def close(self) -> tuple:
+        """The manifest's row."""
+        self.sequences.close()
+        self.index.close()
+        for sink in self.sinks:
+            sink.close()
+        return self.part, self.number, self.name, self.n_documents, self.n_tokens, self.seq_len
 
 
 class TokenFile:
-    """A memory-mapped file of equal-length sequences with random access."""
+    """A file of equal-length sequences with random access: mapped if it is local, else read into memory."""
 
     def __init__(self, path: str, name: str):
         store, folder = _store(path)
@@ -170,26 +206,45 @@ class TokenFile:
         return out[0] if len(out) == 1 else np.concatenate(out) if out else np.empty(0, "<u4")
 
 
+def documents_of(path: str, name: str) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """(doc_id, first, n_tokens) and crc32 of the documents of a file, from front to back.
+
+    Holds one record batch of sequences at a time, wherever the file lies.
+    """
+    store, folder = _store(path)
+    with store.open_input_stream(posixpath.join(folder, f"{name}.arrows")) as ids_source, store.open_input_stream(posixpath.join(folder, f"{name}.index")) as index_source:
+        sequences = iter(pa.ipc.open_stream(ids_source))
+        data, at = memoryview(b""), 0
+        for rows in pa.ipc.open_stream(index_source):
+            crcs = []
+            for n in rows.column(2).to_pylist():
+                left, crc = 4 * n, 0
+                while left:
+                    if at == len(data):
+                        data, at = memoryview(next(sequences).column("ids").values.to_numpy().astype("<u4").tobytes()), 0
+                    part = data[at : at + left]
+                    crc = zlib.crc32(part, crc)
+                    left, at = left - len(part), at + len(part)
+                crcs.append(crc)
+            yield rows, crcs
+
+
 def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """A row for each document, all of it from the files: doc_id, start over all files, n_tokens, ids_crc32.
 
     The manifest has one short row for each file; only that is summed in one task.
     """
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    import pyarrow.compute as pc
+
+    before = W.orderBy("part", "number").rowsBetween(W.unboundedPreceding, -1)
     placed = manifest.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
     def run(batches):
         for batch in batches:
             for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                file = TokenFile(path, name)
-                for rows in file.index:
-                    firsts, counts = rows.column(1).to_pylist(), rows.column(2).to_pylist()
-                    crcs = [zlib.crc32(file.tokens(f, n).astype("<u4").tobytes()) for f, n in zip(firsts, counts, strict=True)]
-                    yield pa.record_batch(
-                        [rows.column(0), pa.array([start + f for f in firsts], pa.int64()), rows.column(2), pa.array(crcs, pa.int64())],
-                        names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                    )
+                for rows, crcs in documents_of(path, name):
+                    yield pa.record_batch([rows.column(0), pc.add(rows.column(1), start), rows.column(2), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return placed.repartition(tasks).mapInArrow(run, READ_BACK)
 

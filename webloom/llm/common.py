@@ -38,9 +38,15 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors reach: spark.checkpoint.dir of the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
-    return root.rstrip("/")
+    """The folder that the driver and all executors reach: spark.checkpoint.dir of the session.
+
+    Where it is unset, a local master uses FALLBACK_DIR; a cluster has no folder that all reach, so
+    that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (root or FALLBACK_DIR).rstrip("/")
 
 
 def new_dir(spark: SparkSession, name: str) -> str:

@@ -1,13 +1,14 @@
 """Tokenising whole texts with a vocabulary file of the tokenizers library.
 
 White space separates tokens in the word vocabulary and never joins them, so a text's ids are the
-ids of its space-separated parts, one after another. Each worker keeps the parts it has seen in a
+ids of its space-separated parts, one after another; a file that splits otherwise encodes whole texts. Each worker keeps the parts it has seen in a
 bounded table; only new parts reach the tokenizer. A part outside plain Latin-1 letters, digits and
 ASCII signs goes to the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
@@ -23,6 +24,18 @@ _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
+#: How the word vocabulary's file normalises, splits and merges. Any other file is used on whole texts.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
 class _Kept(dict):
     """A bounded table in two generations: a full one becomes the old one, and what is still used moves up."""
 
@@ -84,14 +97,13 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = _Parts(self.tokenizer)
-        self.words = self._spaces_split()
-
-    def _spaces_split(self) -> bool:
-        """Whether this vocabulary drops white space, so that parts can be encoded one by one."""
-        probe = "Some probe's text, 42 times."
-        whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
-        parts = [i for p in probe.split(" ") for i in self.tokenizer.encode(p, add_special_tokens=False).ids]
-        return whole == parts
+        self.words = self._known()
+
+    def _known(self) -> bool:
+        """Whether the file normalises and splits text as the tables of parts and pieces assume."""
+        config = json.loads(self.tokenizer.to_str())
+        model = {k: config["model"].get(k) for k in MODEL}
+        return (config["normalizer"], config["pre_tokenizer"], config["post_processor"], model) == (NORMALIZER, PRE_TOKENIZER, None, MODEL)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
