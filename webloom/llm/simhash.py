@@ -13,15 +13,22 @@ the keys of an ordinary equi-join by sorting; what meets is verified on all 64 b
 
 Exact copies and equal fingerprints are one row before that. In a cell only a spanning forest of the
 true links is emitted, so a group of copies gives as many links as members, not as many as pairs.
+
+A cell that very many fingerprints enter is split before it is dealt out: of five groups of a
+fingerprint's bits, two within 4 bits have one in common, so its fingerprints meet by (cell, group,
+bits of the group). Which cells are split follows from how many fingerprints have a cell as their own:
+a cell that no such full cell reaches is entered by at most ENTERED * FULL of them.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize, tune, words_of
+from webloom.llm.common import discard, materialize, tune, words_of
 from webloom.llm.components import components
 
 SHINGLE = 4
@@ -29,6 +36,14 @@ SEED = 42
 DISTANCE = 4
 #: Bits of the first part of a fingerprint, from the top; even.
 FIRST_BITS = 36
+#: Fingerprints that have a cell as their own, beyond which the cells that they enter are split.
+FULL = 2000
+#: Cells of a part that a fingerprint enters at most.
+ENTERED = 1 + FIRST_BITS
+#: Five groups of bits, as (shift, width): more than DISTANCE, so that one stays equal.
+GROUPS = tuple((s, 13 if s < 52 else 12) for s in range(0, 64, 13))
+#: Entries of a cell beyond which a task compares its groups one by one.
+MANY = 4096
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -64,18 +79,18 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) for each row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, sig: Column) -> DataFrame:
+    """(doc_id, fp, sig) for each row; fp is the fingerprint as a signed long, sig what the caller tells rows apart by."""
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
             fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64()), batch.column(2)], names=["doc_id", "fp", "sig"])
 
     tune(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), sig.alias("sig")).mapInArrow(run, "doc_id long, fp long, sig long")
 
 
 def popcounts(fps):
@@ -86,8 +101,8 @@ def popcounts(fps):
     return bits[:, 0::2] + bits[:, 1::2]
 
 
-def cells_of(fps):
-    """Grid cells that each fingerprint enters: (row numbers, cell keys).
+def cells_of(fps, own_only: bool = False):
+    """Grid cells that each fingerprint enters, or its own two: (row numbers, cell keys).
 
     A key is a base-3 number of the part's coordinates; the second part's keys are set apart by sign.
     """
@@ -101,7 +116,7 @@ def cells_of(fps):
         weight = 3 ** np.arange(coordinates.shape[1], dtype=np.int64)
         own = coordinates @ weight
         found = [(everyone, own)]
-        for j, w in enumerate(weight.tolist()):
+        for j, w in enumerate(() if own_only else weight.tolist()):
             down = coordinates[:, j] > 0
             found.append((everyone[down], own[down] - w))
             if both_ways:
@@ -113,6 +128,20 @@ def cells_of(fps):
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def reached_cells(own):
+    """Keys of all cells that fingerprints with these own cells may enter."""
+    import numpy as np
+
+    out = [own]
+    for part, n, both_ways in ((0, FIRST_BITS // 2, True), (1, 32 - FIRST_BITS // 2, False)):
+        keys = own[own >= 0] if part == 0 else -1 - own[own < 0]
+        for j in range(n):
+            digit = keys // 3**j % 3
+            near = [keys[digit > 0] - 3**j, *([keys[digit < 2] + 3**j] if both_ways else [])]
+            out += [-1 - k if part else k for k in near]
+    return np.unique(np.concatenate(out))
+
+
 def _popcount64(x):
     import numpy as np
 
@@ -144,12 +173,10 @@ def forest(fps):
     return out_a, out_b
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def links(distinct: DataFrame, full: int = FULL) -> DataFrame:
     """Links (a, b) by node id that connect all fingerprints within DISTANCE; distinct: (fp, node)."""
 
     def enter(batches):
-        import numpy as np
-
         for batch in batches:
             fps, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at in range(0, len(fps), 4096):
@@ -159,31 +186,72 @@ def links(distinct: DataFrame) -> DataFrame:
     def meet(batches):
         import numpy as np
 
-        def linked(fps, nodes):
-            a, b = forest(fps)
-            return nodes[a], nodes[b]
-
         kept: list = []  # rows of the cell that runs on past the batch
         for batch in batches:
-            cell, fps, nodes = (batch.column(i).to_numpy() for i in range(3))
+            cell, sub, fps, nodes = (batch.column(i).to_numpy() for i in range(4))
             if kept and len(cell):
-                cell, fps, nodes = (np.concatenate([k, x]) for k, x in zip(kept, (cell, fps, nodes), strict=True))
+                cell, sub, fps, nodes = (np.concatenate([k, x]) for k, x in zip(kept, (cell, sub, fps, nodes), strict=True))
             if not len(cell):
                 continue
-            edge = np.flatnonzero(cell[1:] != cell[:-1]) + 1
+            edge = np.flatnonzero((cell[1:] != cell[:-1]) | (sub[1:] != sub[:-1])) + 1
             starts = np.concatenate([[0], edge])
             last = int(starts[-1])
-            kept = [cell[last:], fps[last:], nodes[last:]]
-            yield from _found(starts, fps, nodes, linked, np)
+            kept = [cell[last:], sub[last:], fps[last:], nodes[last:]]
+            yield from _found(starts, fps, nodes)
         if kept:
-            yield from _found(np.array([0, len(kept[0])]), kept[1], kept[2], linked, np)
+            yield from _found(np.array([0, len(kept[0])]), kept[2], kept[3])
+
+    cells = distinct.select("fp", "node").mapInArrow(enter, "cell long, fp long, node long").withColumn("sub", F.lit(0))
+    hot = full_cells(distinct, full)
+    if hot is not None:
+        groups = F.array(*[(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << n) - 1)) + F.lit(g << 13)).cast("int") for g, (at, n) in enumerate(GROUPS, 1)])
+        marked = cells.join(hot, "cell", "left")
+        cells = marked.withColumn("sub", F.explode(F.when(F.col("hot"), groups).otherwise(F.array(F.lit(0)))))
+    return cells.select("cell", "sub", "fp", "node").repartition("cell", "sub").sortWithinPartitions("cell", "sub").mapInArrow(meet, "a long, b long")
 
-    cells = distinct.select("fp", "node").mapInArrow(enter, "cell long, fp long, node long")
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(meet, "a long, b long")
 
+def full_cells(distinct: DataFrame, full: int) -> DataFrame | None:
+    """(cell, hot = true) of all cells that fingerprints of a full cell enter; None where no cell is full."""
 
-def _found(starts, fps, nodes, linked, np):
+    def own(batches):
+        for batch in batches:
+            keys = cells_of(batch.column(0).to_numpy(), own_only=True)[1]
+            yield pa.record_batch([pa.array(keys)], names=["cell"])
+
+    def reach(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array(reached_cells(batch.column(0).to_numpy()))], names=["cell"])
+
+    crowded = materialize(distinct.select("fp").mapInArrow(own, "cell long").groupBy("cell").count().where(F.col("count") > full).select("cell"), "full-cells")
+    if crowded.isEmpty():
+        return None
+    return materialize(crowded.mapInArrow(reach, "cell long").distinct().withColumn("hot", F.lit(True)), "hot-cells")
+
+
+def _linked(fps, nodes):
+    """Links of one cell as node pairs; a large one by groups of equal bits, one group of bits after another."""
+    import numpy as np
+
+    if len(fps) <= MANY:
+        a, b = forest(fps)
+        return nodes[a], nodes[b]
+    out_a, out_b = [], []
+    for at, width in GROUPS:
+        bits = fps.view(np.uint64) >> np.uint64(at) & np.uint64((1 << width) - 1)
+        order = np.argsort(bits, kind="stable")
+        edges = np.flatnonzero(np.diff(bits[order])) + 1
+        for members in np.split(order, edges):
+            if len(members) > 1:
+                a, b = forest(fps[members])
+                out_a.append(nodes[members[a]])
+                out_b.append(nodes[members[b]])
+    return (np.concatenate(x) if x else nodes[:0] for x in (out_a, out_b))
+
+
+def _found(starts, fps, nodes):
     """Links of the closed runs between starts."""
+    import numpy as np
+
     sizes = np.diff(starts)
     out_a, out_b = [], []
     pairs = starts[:-1][sizes == 2]
@@ -192,13 +260,26 @@ def _found(starts, fps, nodes, linked, np):
         out_a.append(nodes[pairs[near]])
         out_b.append(nodes[pairs[near] + 1])
     for at, size in zip(starts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-        a, b = linked(fps[at : at + size], nodes[at : at + size])
+        a, b = _linked(fps[at : at + size], nodes[at : at + size])
         out_a.append(a)
         out_b.append(b)
     if out_a and sum(map(len, out_a)):
         yield pa.record_batch([pa.array(np.concatenate(out_a).astype(np.int64)), pa.array(np.concatenate(out_b).astype(np.int64))], names=["a", "b"])
 
 
+def _grouped(docs: DataFrame, sig: Column) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp, sig) of each row, and (fp, component, component_id); component is a fingerprint."""
+    prints = materialize(fingerprints(docs, sig), "fingerprints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    # a node is its fingerprint; component ids come from the documents' ids below
+    found = components(links(distinct.select("fp", F.col("fp").alias("node"))))
+    named = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    named = materialize(named, "named-fingerprints")
+    discard(distinct)
+    ids = materialize(named.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
+    return prints, named.join(ids, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) for each row of docs (doc_id, text).
 
@@ -207,25 +288,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counts as smaller than none: a component of only such rows has a null component_id. Repeated rows
     come out once each. An empty table gives no rows.
     """
-    prints = materialize(fingerprints(docs), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    # a node is its fingerprint; component ids come from the documents' ids below
-    found = components(links(distinct.select("fp", F.col("fp").alias("node"))))
-    named = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = materialize(named, "named-fingerprints")
-    ids = materialize(named.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
-    resolved = named.join(ids, "component").select("fp", "component_id")
+    prints, resolved = _grouped(docs, F.lit(0).cast("long"))
     return prints.join(resolved, "fp").select("doc_id", "fp", "component_id")
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that have one (maps and variants have none)."""
+    plain = [f.name for f in docs.schema if not re.search(r"\b(map|variant)\b", f.dataType.simpleString())]
+    return F.xxhash64(*[F.col(f"`{n}`") for n in plain])
+
+
 def first_of_groups(docs: DataFrame) -> DataFrame:
-    """docs without rows whose component holds a smaller doc_id; of repeated doc_ids one row stays.
+    """One row of each group of near duplicates, with the columns of docs as they are.
 
-    Rows with a null doc_id can't be their group's smallest; they stay, exact copies among them once.
-    Columns are those of docs.
+    It is the row of the smallest doc_id, a null one being the largest; of several such rows the one
+    whose hash over all columns is smallest. So rows of one doc_id with different texts stay, each
+    for its own group, and of rows alike in every column one stays. An empty table gives no rows.
     """
-    kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    ids = docs.withColumn("doc_id", F.col("doc_id").cast("long")) if dict(docs.dtypes)["doc_id"] != "bigint" else docs
-    named = ids.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = ids.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    return named.select(*docs.columns).union(nameless.select(*docs.columns))
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), row_hash(docs).alias("sig"))
+    prints, resolved = _grouped(docs, row_hash(docs))
+    least = prints.join(resolved, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = least.groupBy("component").agg(F.min("doc_id").alias("id"), F.min("sig").alias("sig"))
+    kept = materialize(kept.select("id", "sig"), "kept-rows")
+    rows = keyed.join(kept, keyed["id"].eqNullSafe(kept["id"]) & (keyed["sig"] == kept["sig"]), "left_semi")
+    return rows.dropDuplicates(["id", "sig"]).select("row.*")
