@@ -54,7 +54,7 @@ def test_long_runs_are_linear():
 def test_terms_that_give_an_entity_away(spark):
     rows = [(i, f"the boss zorblax number{i} a{i % 3}@x.com said hello number{i + 50}") for i in range(6)]
     rows += [(10 + i, f"the weather said hello to boss number{i}") for i in range(30)]
-    rows += [(50 + i, f"filler text {i} of the corpus " * 20) for i in range(5)]
+    rows += [(50 + i, f"filler text {i} of the corpus " * 2000) for i in range(5)]
     rows += [(60 + i, f"zorblax2 only{i} same@y.org") for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
@@ -76,7 +76,7 @@ def test_terms_are_spanned_away_from_their_entity(spark, monkeypatch, broadcast_
     rows = [(i, f"Zorblax only{i} same@y.org") for i in range(60)]
     rows += [(100, "nobody here but (ZORBLAX), zorblax's and zorblax"), (None, "É zorblax"), (101, "zorblax@b.org zorblax"), (102, "a zorblaxian speaks")]
     rows += [(103, "zorblax same@y.org " + "word " * 40 + "zorblax.")]
-    rows += [(200 + i, "filler text of the corpus " * 100) for i in range(20)]
+    rows += [(200 + i, "filler text of the corpus " * 1000) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     out = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
     assert out[100].spans == "term:17:24,term:41:48"

@@ -5,9 +5,14 @@ protected entities. A term standing near an entity may identify it as well as it
 much it tells is estimated from the whole corpus: with c(t, e) the occurrences of term t within
 `reach` words of entity e and c(t) all occurrences of t, the pointwise mutual information of t and e
 is IC(e) + log2(c(t, e) / c(t)), where IC(e) is the information of e itself. A term that keeps a
-share of at least `threshold` of IC(e), near at least `min_texts` different texts' mentions of e,
-discloses e, and each of its occurrences in any text becomes a span of kind term, with or without e
-beside it.
+share of at least `threshold` of IC(e) discloses e, and each of its occurrences in any text becomes a
+span of kind term, with or without e beside it.
+
+Rare words stand beside an entity by chance, too. Were terms dealt out at random, t would stand near e
+in about m = c(t) * s(e) / N texts, with s(e) the places around e and N the places of the corpus, and
+in k texts or more with probability at most exp(k - m) (m / k)^k. Of all N * E pairs of a place and an
+entity less than `chance` may pass that way, or the pair tells nothing. Copies of a text count once.
+A single text never suffices, whatever the corpus; two do in a very large one.
 
 Texts are read three times: for patterns and the terms around them, to count the terms in question,
 and to find every occurrence of the disclosing ones. Only the few candidate terms and spans travel,
@@ -17,8 +22,10 @@ unless the disclosing terms are too many to be broadcast.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -130,7 +137,7 @@ def nearby_terms(text: str, spans, reach: int) -> list[tuple[int, str]]:
 
 
 FOUND = (
-    "doc_id long, crc long, n_email long, n_ip long, n_card long, n_phone long, base string, n_terms long, "
+    "doc_id long, crc long, n_email long, n_ip long, n_card long, n_phone long, base string, "
     "near array<struct<entity: long, term: string>>"
 )
 
@@ -141,47 +148,64 @@ def find_entities(docs: DataFrame, reach: int) -> DataFrame:
     def run(batches):
         near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())]))
         for batch in batches:
-            out: list[list] = [[] for _ in range(9)]
+            out: list[list] = [[] for _ in range(8)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
                 near = [{"entity": e, "term": t} for e, t in nearby_terms(text, spans, reach)] if spans else []
                 counts = [sum(k == kind for k, _, _ in spans) for kind in KINDS]
-                n_terms = text.count(" ") + text.count("\n") + 1 if text else 0
-                row = (doc_id, zlib.crc32((text or "").encode()), *counts, joined(spans), n_terms, near)
+                row = (doc_id, zlib.crc32((text or "").encode()), *counts, joined(spans), near)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            types = [pa.int64()] * 6 + [pa.string(), pa.int64(), near_type]
-            names = ["doc_id", "crc", "n_email", "n_ip", "n_card", "n_phone", "base", "n_terms", "near"]
+            types = [pa.int64()] * 6 + [pa.string(), near_type]
+            names = ["doc_id", "crc", "n_email", "n_ip", "n_card", "n_phone", "base", "near"]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FOUND)
 
 
+def _known(terms: DataFrame, broadcast_up_to: int) -> frozenset | None:
+    """The distinct terms if they are few enough to go along with the code, else None."""
+    return frozenset(r.term for r in terms.collect()) if terms.count() <= broadcast_up_to else None
+
+
 def term_counts(docs: DataFrame, terms: DataFrame, broadcast_up_to: int = 50_000) -> DataFrame:
-    """(term, n): occurrences in the whole corpus of the given distinct terms.
+    """(term, n): occurrences in the whole corpus of the given distinct terms; a null term has all terms' number.
 
-    Up to a checked number of terms they are broadcast and only their occurrences are counted; beyond
-    it all words are counted first, with partial sums before the shuffle.
+    Counts of a batch of texts are summed before they travel. Up to a checked number of terms only
+    theirs do; beyond it all terms' counts are joined with them.
     """
-    gaps = " " * (len(TERM_BREAKS) + 5)
-    words = docs.select(F.explode(F.split(F.lower(F.translate("text", TERM_BREAKS + "\t\n\x0b\x0c\r", gaps)), " ")).alias("term"))
-    if terms.count() <= broadcast_up_to:
-        return words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(terms, "term", "left_semi")
+    known = _known(terms, broadcast_up_to)
+
+    def run(batches):
+        for batch in batches:
+            counts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                for t, n in Counter(_TERM.findall(text or "")).items():
+                    low = t.lower()
+                    counts[None] += n
+                    if known is None or low in known:
+                        counts[low] += n
+            yield pa.record_batch([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+
+    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return counted if known is not None else counted.join(terms.withColumn("_wanted", F.lit(1)), "term", "left").where("term is null or _wanted = 1").drop("_wanted")
 
 
-def disclosing(found: DataFrame, docs: DataFrame, threshold: float, min_texts: int) -> DataFrame:
-    """(entity, term) pairs whose mutual information is at least threshold of the entity's information."""
+def disclosing(found: DataFrame, docs: DataFrame, threshold: float, chance: float) -> DataFrame:
+    """(entity, term) pairs whose mutual information is at least threshold of the entity's, and no accident."""
     near = found.where(F.size("near") > 0).select("crc", F.explode("near").alias("x")).select("crc", "x.entity", "x.term")
-    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_near"), F.count_distinct("crc").alias("n_texts")).where(F.col("n_texts") >= min_texts)
-    pairs = materialize(pairs, "term-pairs")
-    total = found.agg(F.coalesce(F.sum("n_terms"), F.lit(0))).first()[0]
-    counts = term_counts(docs, pairs.select("term").distinct())
-    mentions = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_near"), F.count_distinct("crc").alias("n_texts"))
+    pairs = materialize(pairs.where("n_texts > 1"), "term-pairs")  # one text can't pass: its bound is e * E at least
+    mentions = materialize(near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity-mentions")
+    counts = materialize(term_counts(docs, pairs.select("term").distinct()), "term-counts")
+    total = max(2, counts.where("term is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    entities = max(1, mentions.count())
     joined_up = pairs.join(counts, "term").join(mentions, "entity")
-    information = F.log2(F.lit(float(max(total, 2))) / F.col("n_entity"))
+    information = F.log2(F.lit(float(total)) / F.col("n_entity"))
     mutual = information + F.log2(F.least(F.col("n_near") / F.col("n"), F.lit(1.0)))
-    return joined_up.where((information > 0) & (mutual >= threshold * information)).select("entity", "term")
+    k, m = F.col("n_texts").cast("double"), F.col("n") * F.col("n_entity") / F.lit(float(total))
+    accident = k - m + k * F.log(m / k) + F.lit(math.log(total) + math.log(entities))
+    return joined_up.where((information > 0) & (mutual >= threshold * information) & (k > m) & (accident < F.lit(math.log(chance)))).select("entity", "term")
 
 
 def occurrences(text: str, known) -> list[tuple[str, int, int]]:
@@ -199,7 +223,7 @@ def term_spans(docs: DataFrame, terms: DataFrame, broadcast_up_to: int = 50_000)
     Up to a checked number of terms they are broadcast and only their occurrences travel; beyond it
     all terms of the texts are joined with them.
     """
-    known = frozenset(r.term for r in terms.collect()) if terms.count() <= broadcast_up_to else None
+    known = _known(terms, broadcast_up_to)
 
     def run(batches):
         for batch in batches:
@@ -218,21 +242,21 @@ def term_spans(docs: DataFrame, terms: DataFrame, broadcast_up_to: int = 50_000)
     return (spans if known is not None else spans.join(terms, "term", "left_semi")).drop("term")
 
 
-def find_personal_data(docs: DataFrame, reach: int = 8, threshold: float = 0.95, min_texts: int = 3) -> DataFrame:
+def find_personal_data(docs: DataFrame, reach: int = 8, threshold: float = 0.95, chance: float = 0.01) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base, spans, crc for each row of docs (doc_id, text).
 
     base and spans are kind:start:end lists in code points; spans adds all occurrences of disclosing terms, wherever they stand. Null and
-    empty texts have none. Repeated rows count as one text for min_texts and come out once each. A
+    empty texts have none. Repeated rows count as one text beside an entity and come out once each. A
     null doc_id is carried through. An empty table gives no rows.
     """
     tune(docs.sparkSession)
     found = materialize(find_entities(docs, reach), "entities")
-    pairs = disclosing(found, docs, threshold, min_texts)
+    pairs = disclosing(found, docs, threshold, chance)
     terms = materialize(pairs.select("term").distinct(), "disclosing")
     hits = term_spans(docs, terms).groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("terms"))
     listed = F.concat_ws(",", F.transform("terms", lambda t: F.concat_ws(":", F.lit(TERM), t.start.cast("string"), t.stop.cast("string"))))
     hits = hits.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), listed.alias("_terms"))
-    rows = found.drop("near", "n_terms").join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")), "left")
+    rows = found.drop("near").join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")), "left")
     spans = F.concat_ws(",", F.nullif("base", F.lit("")), F.col("_terms"))
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", spans.alias("spans"), "crc")
 
