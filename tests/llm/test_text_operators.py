@@ -122,6 +122,14 @@ def test_measures_of_odd_rows(spark, odd, clashing, nothing):
     assert quality.judge(nothing).count() == 0
 
 
+def test_kept_rows_keep_their_columns(clashing, nothing):
+    docs = clashing.withColumn("row", F.lit("r"))
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and {(r.kept, r.n_words, r.row) for r in kept.collect()} == {("clash kept", "clash n_words", "r")}
+    assert sorted(map(repr, (r.text for r in kept.collect()))) == sorted(map(repr, (r.text for r in quality.judge(clashing).where("kept").collect())))
+    assert quality.keep_good(nothing).count() == 0
+
+
 def test_verdicts(spark):
     prose = "The house of the man is in the town and he goes to work by the river every day of the year with his dog. "
     cases = {"prose": prose, "shouts": " ".join(x.upper() + "!!" for x in prose.split()), "symbols": " ".join(x + "%%%" for x in prose.split()), "list": " | ".join(f"item{i}" for i in range(40))}

@@ -127,6 +127,12 @@ def judge(docs: DataFrame, rules=RULES) -> DataFrame:
     return rows.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)})
 
 
+def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:
+    """The rows of docs that judge keeps, with their columns as they are, whatever their names."""
+    judged = judge(docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")), rules)
+    return judged.where("kept").select("row.*")
+
+
 def _oracle_rules(rules=RULES) -> str:
     parts = []
     for rule in rules:
