@@ -1,4 +1,4 @@
-"""SimHash (6), substring dedup (9), decontamination (4), components and the pipeline."""
+"""SimHash (6), substring dedup (9), decontamination (4) and components."""
 
 from __future__ import annotations
 
@@ -312,34 +312,3 @@ def test_benchmark_odd_rows(spark, odd, clashing, nothing):
     assert left.columns == clashing.columns
     assert decontaminate.contaminated(nothing, benchmark).count() == 0
     assert decontaminate.contaminated(odd, benchmark.limit(0)).count() == 0
-
-
-# ---- pipeline -----------------------------------------------------------------------------------
-
-
-def test_pipeline_stages(spark, sf):
-    import corpus_pipeline
-    from webloom.llm.common import materialize
-
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    names = docs.columns
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        before = {r.doc_id for r in docs.select("doc_id").collect()}
-        docs = materialize(stage(spark, docs, sf), "stage")
-        after = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert after and after <= before
-        if k < len(corpus_pipeline.STAGES) - 1:
-            assert docs.columns == names
-            assert docs.count() == len(after)
-    assert docs.columns[:7] == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-
-
-def test_pipeline_on_odd_rows(spark, odd, nothing, sf):
-    import corpus_pipeline
-
-    for docs in (odd, nothing):
-        for _, stage in corpus_pipeline.STAGES:
-            out = stage(spark, docs, sf)
-            out.collect()
-            if out.columns == docs.columns:
-                docs = out
