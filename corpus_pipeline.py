@@ -13,17 +13,17 @@ from webloom.llm import common, decontaminate, line_dedup, packing, quality, sim
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the threshold table reject go."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.keep_good(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    kept = line_dedup.drop_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id."""
+    """One row of each SimHash group stays: the one with the smallest doc_id."""
     return simhash.first_of_groups(docs)
 
 
@@ -45,7 +45,7 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-#: SQL can't express fingerprints, latent search or tokenising.
+#: SQL can't express fingerprints, latent search or tokenising; tests/llm holds each stage against brute force.
 ORACLE_SQL = None
 
 
