@@ -42,13 +42,34 @@ def test_mass_and_order(spark):
     assert got[0] > got[1] > got[2] and sum(got.values()) == pytest.approx(1)
 
 
-@pytest.mark.parametrize("every", [1, 4, 50])
+@pytest.mark.parametrize("every", [0, 1, 4, 50])
 def test_equals_plain_iteration(spark, every):
     pairs = [(0, 1), (0, 1), (1, 2), (2, 0), (3, 3), (3, 0), (4, 2)]  # parallel edges, a self-loop, a dangling node 5
     got = ranks(power_iteration(edges(spark, *pairs), nodes(spark, 6), max_iter=9, tol=0, checkpoint_every=every))
     assert [got[i] for i in range(6)] == pytest.approx(dense(pairs, 6, 0.85, 9))
 
 
+def test_heavy_sources_change_nothing(spark, monkeypatch):
+    from webloom.operators import pagerank
+
+    pairs = [(0, i) for i in range(1, 30)] + [(0, 1)] * 3 + [(i, 0) for i in range(1, 20)] + [(2, 3)]
+    monkeypatch.setattr(pagerank, "LEAST_HEAVY", 5)
+    monkeypatch.setattr(pagerank.shares, "__defaults__", (5,))
+    light, heavy = pagerank.shares(edges(spark, *pairs), graph.out_degrees(edges(spark, *pairs)), 3)
+    assert {r.from_id for r in heavy.collect()} == {0} and 0 not in {r.from_id for r in light.collect()}
+    got = ranks(power_iteration(edges(spark, *pairs), nodes(spark, 30), max_iter=6, tol=0))
+    assert [got[i] for i in range(30)] == pytest.approx(dense(pairs, 30, 0.85, 6))
+
+
+def test_resume_needs_every_node(spark):
+    e, some = edges(spark, (0, 1), (1, 2), (2, 0)), spark.createDataFrame([(0, 0.5), (1, 0.5)], "id long, rank double")
+    with pytest.raises(ValueError, match="start lacks 1 nodes"):
+        power_iteration(e, nodes(spark, 3), max_iter=2, tol=0, start=some)
+    half = power_iteration(e, nodes(spark, 3), max_iter=3, tol=0)
+    whole = ranks(power_iteration(e, nodes(spark, 3), max_iter=7, tol=0))
+    assert ranks(power_iteration(e, nodes(spark, 3), max_iter=4, tol=0, start=half)) == pytest.approx(whole)
+
+
 def test_personalised(spark):
     t = spark.createDataFrame([(0, 1.0)], "id long, w double")
     got = ranks(power_iteration(edges(spark, (0, 1)), nodes(spark, 4), max_iter=50, tol=1e-10, teleport=t))

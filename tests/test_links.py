@@ -88,6 +88,36 @@ def test_wat_files(spark, tmp_path):
     assert counts == {"files_attempted": 3, "raw_link_rows": 3, "records_seen": 7, "malformed_records": 1, "records_with_no_links": 3, "files_unreadable": 1}
 
 
+def test_corrupt_files_and_unknown_stores(spark, tmp_path):
+    good = gzip.compress(record(json.dumps(A).encode()))
+    noise = bytearray(gzip.compress(record(json.dumps({"x": list(range(3000))}).encode())))
+    noise[40:80] = b"\xff" * 40
+    (tmp_path / "corrupt.gz").write_bytes(good + bytes(noise))
+    rows = wat.read_wat(spark, [str(tmp_path / "corrupt.gz")]).cache()
+    assert wat.link_rows(rows).count() == 1
+    assert wat.extraction_counts(rows)["files_unreadable"] == 1
+    with pytest.raises(wat.UnknownStoreError):
+        wat.open_stream("nowhere://x/y")
+
+
+def test_s3a_is_s3(monkeypatch):
+    from pyarrow import fs
+
+    asked = []
+
+    class Store:
+        @staticmethod
+        def from_uri(uri):
+            asked.append(uri)
+            raise FileNotFoundError(uri)
+
+    monkeypatch.setattr(fs, "FileSystem", Store)
+    for path in ("s3a://b/x.gz", "s3n://b/x.gz", "s3://b/x.gz"):
+        with pytest.raises(OSError):
+            wat.open_stream(path)
+    assert asked == ["s3://b/x.gz"] * 3
+
+
 def test_json_extraction_agrees_with_the_parser(spark):
     bodies = [A, B, payload("http://none.com"), {"Envelope": None}]
     df = spark.createDataFrame([(json.dumps({**b}),) for b in bodies if b is not B], "value string")

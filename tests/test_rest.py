@@ -245,16 +245,105 @@ def test_job_errors(spark, tmp_path):
         jobs.backlinks(spark, str(tmp_path / "empty.txt"), "p", str(tmp_path / "o"), "c")
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_kendall_in_blocks(spark, seed):
+    """Ties of all sizes, values with more rows than a block among them."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, [5, 60, 1000][seed - 1], 700)
+    y = np.where(rng.random(700) < 0.6, x, rng.integers(0, 300, 700)) // [1, 7, 1][seed - 1]
+    x[: 200 * (seed % 2)] = 3
+    df = spark.createDataFrame(list(zip(x.astype(float).tolist(), y.astype(float).tolist(), strict=True)), "a double, b double").repartition(5)
+    for block in (40, 300):
+        assert rankstats.kendall_in_blocks(df, block) == pytest.approx(rankstats.tau_b(x, y), abs=1e-12)
+
+
+def test_weighted_inversions():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 7, 90):
+        v, w = rng.integers(0, 20, n), rng.integers(1, 5, n)
+        assert rankstats.weighted_inversions(v, w) == sum(int(w[i] * w[j]) for i in range(n) for j in range(i + 1, n) if v[i] > v[j])
+
+
+def test_quantiles_are_exact(spark):
+    values = [3.5, -1.0, 3.5, 8.0, None, 2.25, 7.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    at = [0, 0.1, 0.25, 0.5, 0.9, 1]
+    assert rankstats.quantiles(df, "v", at) == pytest.approx(np.quantile([v for v in values if v is not None], at).tolist())
+    assert rankstats.quantiles(df.limit(0), "v", [0.5]) == [None]
+
+
+def test_ranks_within_groups(spark):
+    rows = [(i % 3 if i % 7 else None, float(i * i % 11)) for i in range(60)]
+    got = rankstats.with_rank(spark.createDataFrame(rows, "g int, v double").repartition(4), "v", "r", by="g").collect()
+    assert len(got) == 60
+    for r in got:
+        mine = [v for g, v in rows if g == r.g]
+        assert r.r == sum(v < r.v for v in mine) + (1 + sum(v == r.v for v in mine)) / 2
+
+
+def test_the_package_reaches_workers(spark):
+    import webloom
+    from webloom import session
+
+    sent = []
+
+    class Context:
+        addPyFile = staticmethod(lambda path: sent.append((path, __import__("zipfile").ZipFile(path).namelist())))
+
+    class Session:
+        sparkContext = Context
+
+    session.ship_package(Session)
+    assert "webloom/operators/pagerank.py" in sent[0][1] and webloom
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from webloom import session
+
+    def fake(master, folder=None):
+        class Conf:
+            get = staticmethod(lambda key, default=None: folder)
+
+        class Context:
+            pass
+
+        class Session:
+            conf, sparkContext = Conf, Context
+
+        Context.master = master
+        return Session
+
+    assert session.shared_dir(fake("local[4]")) == session.FALLBACK_DIR
+    assert session.shared_dir(fake("spark://x:1", "hdfs://shared/")) == "hdfs://shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(fake("local-cluster[2,1,1000]"))
+
+
+def test_published_files_and_commit(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "out" / "index"))
+    record = publish.artifact_record(spark, str(tmp_path / "out"))
+    assert record and all(a["path"].startswith("index/part-") and a["bytes"] > 0 for a in record)
+    assert publish.current_commit(str(tmp_path)) is None
+    (tmp_path / ".git" / "refs").mkdir(parents=True)
+    (tmp_path / ".git" / "HEAD").write_text("ref: refs/main\n")
+    (tmp_path / ".git" / "refs" / "main").write_text("abc\n")
+    assert publish.current_commit(str(tmp_path / "out")) == "abc"
+    (tmp_path / ".git" / "refs" / "main").unlink()
+    (tmp_path / ".git" / "packed-refs").write_text("def refs/main\n")
+    assert publish.current_commit(str(tmp_path)) == "def"
+
+
 #: A query of each family; the driver compares all of them.
-COMPARED = ("graph_degrees", "link_pairs", "language_arrays", "crawl_link_status", "rank_kendall", "mart_domain_authority", "scope_filter")
+COMPARED = ("graph_degrees", "link_pairs", "language_arrays", "crawl_link_status", "rank_kendall", "mart_domain_authority", "scope_filter", "sample_stratified", "source_wat_file", "source_path_list", "publish_record", "graph_faults", "job_settings", "scope_stages")
 
 
 @pytest.mark.parametrize("name", COMPARED)
 def test_against_sql(spark, sf, name):
     import duckdb
 
-    from webloom.plans import registry
+    from webloom.plans import proofs, registry
 
+    assert proofs
     con = duckdb.connect()
     for table in os.listdir(sf):
         con.execute(f"CREATE VIEW {table.split('.')[0]} AS SELECT * FROM '{sf}/{table}'")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from webloom.config import Authority, Seed, load_pipeline, with_overrides
 from webloom.errors import ConfigError, WebloomError
-from webloom.session import build_session
+from webloom.session import build_session, ship_package
 
 RUN_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,63}")
 
@@ -67,6 +67,7 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     try:
         spark = build_session(f"webloom-{a.job}")
+        ship_package(spark)
         if a.job == "ingest":
             jobs.ingest(spark, a.vertices_tsv, a.edges_tsv, a.vertices_out, a.edges_out)
         elif a.job == "count-lines":

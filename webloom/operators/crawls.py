@@ -30,7 +30,7 @@ def select_window(crawls: DataFrame, recent: int = 6, anchors: bool = True) -> D
 
 def merged_edges(edges: DataFrame, window: DataFrame) -> DataFrame:
     """Distinct edges of all crawls of a window; edges: (from_id, to_id, crawl)."""
-    return edges.join(F.broadcast(window.select("crawl")), "crawl", "left_semi").select("from_id", "to_id").distinct()
+    return edges.join(window.select("crawl"), "crawl", "left_semi").select("from_id", "to_id").distinct()
 
 
 def link_history(links: DataFrame, key: list[str]) -> DataFrame:

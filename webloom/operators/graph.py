@@ -157,6 +157,7 @@ def boilerplate_targets(edges: DataFrame, vertices: DataFrame, threshold: float,
 
 
 def top_ranked(ranks: DataFrame, vertices: DataFrame, k: int) -> DataFrame:
-    """The k best (domain, rank), ties by domain; ranks are cut to k by id first where ties allow it."""
-    named = ranks.join(vertices, "id")
+    """The k best (domain, rank), ties by domain. Only ranks no lower than the k-th one are named."""
+    least = ranks.orderBy(F.desc("rank")).limit(k).agg(F.min("rank")).first()[0]
+    named = ranks.where(F.col("rank") >= F.lit(least)).join(vertices, "id")
     return named.select("domain", "rank").orderBy(F.desc("rank"), "domain").limit(k)

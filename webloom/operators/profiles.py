@@ -22,8 +22,10 @@ def inbound_profile(links: DataFrame, languages: DataFrame | None = None, top_do
     columns that need them. IP counters are null without an ip column, for which no source is named.
     """
     rel, source = F.col("rel"), F.col("domain_from")
-    follow = ~has_rel(rel, "nofollow")
-    rows = links
+    n = F.count(F.lit(1))
+    counts = {"n": n, "follow": F.count_if(~has_rel(rel, "nofollow")), "ugc": F.count_if(has_rel(rel, "ugc")), "sponsored": F.count_if(has_rel(rel, "sponsored"))}
+    pairs = links.groupBy("domain_to", "domain_from").agg(*[c.alias(f"_{k}") for k, c in counts.items()])  # all that follows is over pairs
+    rows = pairs
     if top_domains is not None:
         rows = rows.join(top_domains.select(source_name(top_domains)).distinct().withColumn("_top", F.lit(True)), "domain_from", "left")
     if languages is not None:
@@ -32,31 +34,38 @@ def inbound_profile(links: DataFrame, languages: DataFrame | None = None, top_do
         rows = rows.join(a, "domain_from", "left").join(b, "domain_to", "left")
     if ranks is not None:
         rows = rows.join(ranks.select(F.col("domain").alias("domain_from"), F.col("pagerank_score").alias("_pr")), "domain_from", "left")
-    has_ip = "ip" in links.columns
-    n = F.count(F.lit(1))
+
+    def links_where(condition):
+        return F.sum(F.when(condition, F.col("_n")).otherwise(0))
+
+    total = F.sum("_n")
     aggs = [
-        F.count_distinct(source).alias("referring_domains"),
-        (F.count_distinct("ip") if has_ip else F.lit(None).cast("long")).alias("referring_ips"),
-        (F.count_distinct(F.regexp_extract("ip", r"^(\d+\.\d+\.\d+)\.", 1)) if has_ip else F.lit(None).cast("long")).alias("referring_subnets"),
-        n.alias("inbound_links_total"),
-        F.count_if(follow).alias("dofollow_links"),
-        ratio(F.count_if(follow), n).alias("dofollow_ratio"),
-        F.count_distinct(F.when(follow, source)).alias("dofollow_referring_domains"),
-        F.count_if(has_rel(rel, "ugc")).alias("ugc_links"),
-        F.count_if(has_rel(rel, "sponsored")).alias("sponsored_links"),
-        F.count_if(tld_class(source) == "gov").alias("gov_links"),
-        F.count_if(tld_class(source) == "edu").alias("edu_links"),
+        F.count("domain_from").alias("referring_domains"),
+        total.alias("inbound_links_total"),
+        F.sum("_follow").alias("dofollow_links"),
+        ratio(F.sum("_follow"), total).alias("dofollow_ratio"),
+        F.count(F.when(F.col("_follow") > 0, source)).alias("dofollow_referring_domains"),
+        F.sum("_ugc").alias("ugc_links"),
+        F.sum("_sponsored").alias("sponsored_links"),
+        links_where(tld_class(source) == "gov").alias("gov_links"),
+        links_where(tld_class(source) == "edu").alias("edu_links"),
         F.count_distinct(tld(source)).alias("tld_diversity_score"),
     ]
     if top_domains is not None:
-        aggs.append(ratio(F.count_if(F.col("_top").isNotNull()), n).alias("inbound_top10k_ratio"))
+        aggs.append(ratio(links_where(F.col("_top").isNotNull()), total).alias("inbound_top10k_ratio"))
     if languages is not None and ranks is not None:
         foreign = F.col("_lang_from").isNotNull() & F.col("_lang_to").isNotNull() & (F.col("_lang_from") != F.col("_lang_to"))
-        aggs.append(ratio(F.sum(F.when(foreign, F.col("_pr")).otherwise(0.0)), F.sum("_pr")).alias("cross_language_authority"))
+        weight = F.col("_pr") * F.col("_n")
+        aggs.append(ratio(F.sum(F.when(foreign, weight).otherwise(0.0)), F.sum(weight)).alias("cross_language_authority"))
     out = rows.groupBy("domain_to").agg(*aggs).withColumnRenamed("domain_to", "domain")
+    for name, value in (("referring_ips", F.col("ip")), ("referring_subnets", F.regexp_extract("ip", r"^(\d+\.\d+\.\d+)\.", 1))) if "ip" in links.columns else ():
+        distinct = links.select(F.col("domain_to").alias("domain"), value.alias("_value")).where("_value is not null").distinct()
+        out = out.join(distinct.groupBy("domain").agg(F.count(F.lit(1)).alias(name)), "domain", "left").fillna(0, [name])
+    if "ip" not in links.columns:
+        out = out.withColumns({c: F.lit(None).cast("long") for c in ("referring_ips", "referring_subnets")})
     if languages is not None:
-        pairs = rows.select(F.col("domain_to").alias("domain"), "domain_from", F.col("_lang_from").alias("lang")).distinct()
-        out = out.join(shares(pairs, "domain", "lang", "inbound_lang_distribution"), "domain", "left")
+        sources = rows.select(F.col("domain_to").alias("domain"), "domain_from", F.col("_lang_from").alias("lang"))
+        out = out.join(shares(sources, "domain", "lang", "inbound_lang_distribution"), "domain", "left")
     return out
 
 
@@ -133,15 +142,18 @@ def backlinks_mart(links: DataFrame, scope: DataFrame, languages: DataFrame) ->
     return _link_rows(inside, languages).join(first, ["url_from", "url_to"])
 
 
-def outbound_mart(links: DataFrame, scope: DataFrame, languages: DataFrame, authority: DataFrame, latest: str) -> DataFrame:
+def outbound_mart(links: DataFrame, scope: DataFrame, languages: DataFrame, authority: DataFrame, latest: str, broken: DataFrame | None = None) -> DataFrame:
     """One row for each (url_from, url_to, crawl) out of the scope's domains, with history and what is known of the target.
 
-    authority: domain, pagerank_score, open_authority, in_degree.
+    authority: domain, pagerank_score, open_authority, in_degree. broken: (url_to) of targets that
+    don't answer; is_broken is null, not false, without it.
     """
     from webloom.operators.crawls import link_status
 
     inside = links.join(scope.select(F.col("domain").alias("domain_from")), "domain_from", "left_semi")
-    status = link_status(inside, ["url_from", "url_to"], "url_from", latest)
+    status = link_status(inside, ["url_from", "url_to"], "url_from", latest, broken, "url_to")
+    if broken is None:
+        status = status.withColumn("is_broken", F.lit(None).cast("boolean"))
     target = authority.select(F.col("domain").alias("domain_to"), F.col("pagerank_score").alias("target_pagerank_score"), F.col("open_authority").alias("target_open_authority"), F.col("in_degree").alias("target_referring_domains"), F.lit(True).alias("_known"))
     rows = _link_rows(inside, languages).join(status, ["url_from", "url_to"]).join(target, "domain_to", "left")
     return rows.withColumn("is_target_indexed", F.col("_known").isNotNull()).drop("_known").withColumnRenamed("domain_to", "target_domain")

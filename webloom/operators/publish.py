@@ -57,6 +57,40 @@ def extract_public_index(spark: SparkSession, mart_path: str, out: str, top_n: i
     return record
 
 
+def artifact_record(spark: SparkSession, out: str) -> list[dict[str, Any]]:
+    """(path below out, bytes) of every published data file, in the order of paths."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base, found = fs.makeQualified(root).toString(), []
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        file = files.next()
+        name = file.getPath().toString().removeprefix(base).lstrip("/")
+        if not name.rpartition("/")[2].startswith(("_", ".")):
+            found.append({"path": name, "bytes": file.getLen()})
+    return sorted(found, key=lambda x: x["path"])
+
+
+def current_commit(folder: str = ".") -> str | None:
+    """The commit checked out in the git repository that holds a folder, read from its files; None outside of one."""
+    from pathlib import Path
+
+    for place in (Path(folder).resolve(), *Path(folder).resolve().parents):
+        head = place / ".git" / "HEAD"
+        if head.is_file():
+            text = head.read_text().strip()
+            if not text.startswith("ref: "):
+                return text
+            ref = text.removeprefix("ref: ")
+            if (place / ".git" / ref).is_file():
+                return (place / ".git" / ref).read_text().strip()
+            packed = place / ".git" / "packed-refs"
+            lines = packed.read_text().splitlines() if packed.is_file() else []
+            return next((x.split(" ")[0] for x in lines if x.endswith(f" {ref}")), None)
+    return None
+
+
 def dataset_card(record: dict[str, Any], title: str = "Domain authority index") -> str:
     """Text that goes with a published index."""
     lines = [f"# {title}", "", f"Window: {record['window_id']}", f"Rows: {record['row_count']:,}", f"Top list: {record['top_n']:,}", "", "| column | meaning |", "| --- | --- |"]

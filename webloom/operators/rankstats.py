@@ -6,6 +6,9 @@ only one count for each range goes through the driver.
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,25 +17,57 @@ from webloom.operators.seeds import numbered
 from webloom.session import snapshot
 
 
+def placed(df: DataFrame, score: str, descending: bool = False, by: str | None = None) -> DataFrame:
+    """([by,] _score, _c, _first): each distinct score, how many rows have it, and how many come before it (within by).
+
+    Distinct scores are dealt by ranges; a count for each range (and each by in it) goes through the driver.
+    """
+    keys = [by] if by else []
+    counts = df.groupBy(*keys, F.col(score).alias("_score")).agg(F.count(F.lit(1)).alias("_c"))
+    order = F.col("_score").desc() if descending else F.col("_score").asc()
+    ranged = snapshot(counts.repartitionByRange(*keys, order).withColumn("_part", F.spark_partition_id()), "score-ranges")
+    sums = ranged.groupBy("_part", *keys).agg(F.sum("_c").alias("n")).collect()
+    before, so_far = [], {}
+    for r in sorted(sums, key=lambda r: r["_part"]):
+        k = r[by] if by else None
+        before.append((r["_part"], *([k] if by else []), so_far.get(k, 0)))
+        so_far[k] = so_far.get(k, 0) + r["n"]
+    kind = f"`{by}` {dict(df.dtypes)[by]}, " if by else ""
+    offsets = df.sparkSession.createDataFrame(before, f"_part int, {kind}_before long")
+    running = W.partitionBy("_part", *keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    first = F.col("_before") + F.coalesce(F.sum("_c").over(running), F.lit(0))
+    on = F.lit(True)
+    for k in ("_part", *keys):
+        on = on & ranged[k].eqNullSafe(offsets[k])
+    here = ranged.join(F.broadcast(offsets), on)
+    return here.select(*[ranged[k] for k in keys], "_score", "_c", "_before", ranged["_part"]).withColumn("_first", first).select(*keys, "_score", "_c", "_first")
+
+
 def with_rank(df: DataFrame, score: str, name: str, descending: bool = False, by: str | None = None) -> DataFrame:
     """df with the average rank of a score (ties share the mean of their places), within `by` if given."""
-    if by is not None:
-        order = F.col(score).desc() if descending else F.col(score).asc()
-        ties = W.partitionBy(by, score)
-        return df.withColumn(name, F.rank().over(W.partitionBy(by).orderBy(order)) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
-    counts = df.groupBy(score).agg(F.count(F.lit(1)).alias("_c"))
-    order = F.col(score).desc() if descending else F.col(score).asc()
-    ranged = snapshot(counts.repartitionByRange(order).select(score, "_c", F.spark_partition_id().alias("_part")), "score-ranges")
-    sums = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.sum("_c").alias("n")).collect()}
-    before, total = [], 0
-    for part in sorted(sums):
-        before.append((part, total))
-        total += sums[part]
-    offsets = df.sparkSession.createDataFrame(before or [(0, 0)], "_part int, _before long")
-    running = W.partitionBy("_part").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    first = F.col("_before") + F.coalesce(F.sum("_c").over(running), F.lit(0)) + 1
-    places = ranged.join(F.broadcast(offsets), "_part").select(F.col(score).alias("_score"), (first + (F.col("_c") - 1) / 2.0).alias(name))
-    return df.join(places, F.col(score).eqNullSafe(F.col("_score"))).drop("_score")
+    places = placed(df, score, descending, by).withColumn(name, F.col("_first") + 1 + (F.col("_c") - 1) / 2.0).drop("_first", "_c")
+    on = F.col(score).eqNullSafe(F.col("_score"))
+    if by:
+        places = places.withColumnRenamed(by, "_by")
+        on = on & F.col(by).eqNullSafe(F.col("_by"))
+    return df.join(places, on).drop("_score", "_by")
+
+
+def quantiles(df: DataFrame, column: str, at: list[float]) -> list[float | None]:
+    """Exact quantiles of a column, interpolated between neighbours as percentile does; nulls don't count."""
+    places = snapshot(placed(df.where(F.col(column).isNotNull()), column), "places")
+    n = places.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
+    if not n:
+        return [None] * len(at)
+    wanted = sorted({int(f(p * (n - 1))) for p in at for f in (math.floor, math.ceil)})
+    holds = F.filter(F.array(*[F.lit(k).cast("long") for k in wanted]), lambda k: (k >= F.col("_first")) & (k < F.col("_first") + F.col("_c")))
+    value = {k: float(r["_score"]) for r in places.select("_score", holds.alias("ks")).where("size(ks) > 0").collect() for k in r.ks}
+
+    def between(p: float) -> float:
+        low, high = math.floor(p * (n - 1)), math.ceil(p * (n - 1))
+        return value[low] if low == high else (high - p * (n - 1)) * value[low] + (p * (n - 1) - low) * value[high]
+
+    return [between(p) for p in at]
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -92,19 +127,87 @@ def tau_b(x, y) -> float:
     return (concordant - discordant) / bottom if bottom else float("nan")
 
 
-def kendall(df: DataFrame, a: str, b: str, sample_rows: int = 1_000_000, seed: int = 42) -> float:
-    """tau-b; of more than sample_rows rows, on about so many drawn by hash (a documented bound)."""
+def weighted_inversions(values, weights) -> int:
+    """Sum of weight products over i < j with values[i] > values[j], by merging blocks of doubling size in numpy."""
+    import numpy as np
+
+    v = np.unique(np.asarray(values), return_inverse=True)[1].astype(np.int64)
+    top, n = len(v) + 1, 1 << max(0, int(len(v) - 1).bit_length())
+    v = np.concatenate([v, np.full(n - len(v), top - 1)])
+    w = np.concatenate([np.asarray(weights, np.int64), np.zeros(n - len(weights), np.int64)])
+    total, half = 0, 1
+    while half < n:
+        v, w = v.reshape(-1, 2 * half), w.reshape(-1, 2 * half)
+        shift = np.arange(len(v), dtype=np.int64)[:, None] * top
+        sums = np.concatenate([[0], np.cumsum(w[:, :half].ravel())])
+        up_to = np.searchsorted((v[:, :half] + shift).ravel(), (v[:, half:] + shift).ravel(), side="right")
+        ends = np.repeat((np.arange(len(v)) + 1) * half, half)
+        total += int((w[:, half:].ravel() * (sums[ends] - sums[up_to])).sum())
+        order = np.argsort(v, axis=1, kind="stable")
+        v, w = np.take_along_axis(v, order, axis=1).ravel(), np.take_along_axis(w, order, axis=1).ravel()
+        half *= 2
+    return total
+
+
+def kendall(df: DataFrame, a: str, b: str, block_rows: int = 1_000_000) -> float:
+    """tau-b over all rows: in one piece up to block_rows rows, beyond it in blocks, with the same result. Rows with a null don't count."""
     import numpy as np
 
-    rows = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
-    n = rows.count()
-    if n > sample_rows:
-        grain = 1 << 30
-        rows = rows.where(F.pmod(F.xxhash64("a", "b", F.lit(seed)), F.lit(grain)) < int(grain * sample_rows / n))
+    rows = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).where("a is not null and b is not null")
+    if rows.count() > block_rows:
+        return kendall_in_blocks(rows, block_rows)
     got = rows.toArrow()
     return tau_b(np.asarray(got.column("a")), np.asarray(got.column("b")))
 
 
+def kendall_in_blocks(rows: DataFrame, block_rows: int) -> float:
+    """tau-b of (a, b). Rows are dealt into blocks of about block_rows neighbours by a, and as well by b.
+
+    Discordant pairs are counted in three parts: in different blocks both by a and by b, from the
+    numbers of rows in each pair of blocks; in one block by a; in one block by b but two by a. Equal
+    pairs are one row with a count. A value that has more rows than a block is a block of its own,
+    in which no pair can be discordant.
+    """
+    import numpy as np
+
+    def block(first, count):
+        return F.floor(first / block_rows) * 2 + F.when(count > block_rows, 1).otherwise(0)
+
+    def halves(counts):
+        return F.coalesce(F.sum(counts.cast("decimal(38,0)") * (counts - 1) / 2), F.lit(0)).cast("decimal(38,0)")
+
+    sides = {}
+    for c in ("a", "b"):
+        sides[c] = snapshot(placed(rows, c), "places").select(F.col("_score").alias(f"_{c}"), block(F.col("_first"), F.col("_c")).alias(f"block_{c}"), F.col("_c").alias(f"n_{c}"))
+    pairs = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    for c in ("a", "b"):
+        pairs = pairs.join(sides[c].drop(f"n_{c}"), F.col(c) == F.col(f"_{c}")).drop(f"_{c}")
+    pairs = snapshot(pairs, "pairs")
+
+    def inside(key: str, order: str, value: str) -> int:
+        def count(table):
+            t = table.sort_by([(order, "ascending"), (value, "ascending")])
+            return pa.table({"d": pa.array([weighted_inversions(t.column(value).to_numpy(), t.column("n").to_numpy())], pa.int64())})
+
+        counts = pairs.where(F.col(key) % 2 == 0).groupBy(key).applyInArrow(count, "d long")
+        return int(counts.agg(F.coalesce(F.sum(F.col("d").cast("decimal(38,0)")), F.lit(0))).first()[0])
+
+    grid = pairs.groupBy("block_a", "block_b").agg(F.sum("n").alias("n")).toArrow()
+    x, y = (np.unique(grid.column(c).to_numpy(), return_inverse=True)[1] for c in ("block_a", "block_b"))
+    cells = np.zeros((x.max() + 1, y.max() + 1), object)
+    cells[x, y] = [int(n) for n in grid.column("n").to_pylist()]
+    later = np.zeros((cells.shape[0] + 1, cells.shape[1] + 1), object)  # rows in later blocks by a and earlier ones by b
+    later[:-1, 1:] = cells[::-1].cumsum(axis=0)[::-1].cumsum(axis=1)
+    discordant = int((cells * later[1:, :-1]).sum()) + inside("block_a", "a", "b") + inside("block_b", "block_a", "b")
+    n = int(sum(cells.ravel()))
+    tied = {c: int(sides[c].agg(halves(F.col(f"n_{c}"))).first()[0]) for c in ("a", "b")}
+    both = int(pairs.agg(halves(F.col("n"))).first()[0])
+    total = n * (n - 1) // 2
+    concordant = total - tied["a"] - tied["b"] + both - discordant
+    bottom = math.sqrt(total - tied["a"]) * math.sqrt(total - tied["b"])
+    return (concordant - discordant) / bottom if bottom else float("nan")
+
+
 def top_jaccard(df: DataFrame, a: str, b: str, ks: list[int], key: str = "domain") -> DataFrame:
     """(k, jaccard) of the k best of both rankings, ties by key."""
     out = None
@@ -135,7 +238,8 @@ def displacement(df: DataFrame, a: str, b: str, hosts: str | None = None) -> Dat
     """One row: median and p90 of |difference of ranks|, truncated average ranks, best first; with hosts, its Spearman with the difference."""
     ranked = with_rank(with_rank(df, a, "_ra", descending=True), b, "_rb", descending=True)
     rows = ranked.withColumn("_d", F.floor("_ra") - F.floor("_rb"))
-    out = rows.agg(F.percentile(F.abs("_d"), 0.5).alias("median_abs_delta"), F.percentile(F.abs("_d"), 0.9).alias("p90_abs_delta"))
+    cuts = quantiles(rows.select(F.abs("_d").alias("d")), "d", [0.5, 0.9])
+    out = df.sparkSession.createDataFrame([tuple(cuts)], "median_abs_delta double, p90_abs_delta double")
     return out if hosts is None else out.crossJoin(spearman(rows, "_d", hosts).select(F.col("spearman").alias("delta_vs_hosts")))
 
 
@@ -150,11 +254,11 @@ def auc(df: DataFrame, score: str, positive: str) -> DataFrame:
 
 def decile_rates(df: DataFrame, score: str, positive: str, min_rows: int = 10) -> DataFrame:
     """(decile, n, rate) with decile 1 the highest scores; cut at exact percentiles, equal cuts merged; no rows below min_rows."""
-    cuts = df.agg(F.percentile(score, [i / 10 for i in range(1, 10)]).alias("cuts"), F.count(F.lit(1)).alias("n")).first()
-    if cuts.n < min_rows:
+    if df.limit(min_rows).count() < min_rows:
         return df.select(F.lit(0).cast("long").alias("decile"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("rate")).limit(0)
-    above = sum([(F.col(score) > c).cast("int") for c in sorted(set(cuts.cuts))], F.lit(0))
-    n_cuts = len(set(cuts.cuts))
+    cuts = sorted({c for c in quantiles(df, score, [i / 10 for i in range(1, 10)]) if c is not None})
+    above = sum([(F.col(score) > c).cast("int") for c in cuts], F.lit(0))
+    n_cuts = len(cuts)
     return df.groupBy((F.lit(n_cuts + 1) - above).cast("long").alias("decile")).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(positive).cast("double")).alias("rate")).orderBy("decile")
 
 

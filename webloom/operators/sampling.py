@@ -5,21 +5,32 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stratified_list(scores: DataFrame, head: int, per_bucket: int, cap: int, seed: int = 42) -> DataFrame:
+def chance(column: str) -> Column:
+    """A number in [0, 1) from the md5 of a value: the same draw in every engine and layout."""
+    return F.conv(F.substring(F.md5(F.col(column).cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+
+
+#: Orders in which places up to the cap are filled.
+FILL = {"crc32": lambda c: F.crc32(F.col(c).cast("binary")), "md5": lambda c: F.md5(F.col(c).cast("binary"))}
+
+
+def stratified_list(scores: DataFrame, head: int, per_bucket: int, cap: int, fill: str = "crc32") -> DataFrame:
     """domains for a reference list: the `head` best always, then a sample of each decade of the score.
 
-    scores: (domain, oa). Rows beside the head fall in buckets floor(log10(oa)); each is sampled with
-    probability min(1, per_bucket / size), and places up to `cap` are filled in the order of crc32.
+    scores: (domain, oa). Rows beside the head fall in buckets floor(log10(oa)); each is drawn with
+    probability min(1, per_bucket / size), by the hash of its domain, and places up to `cap` are
+    filled in the order of crc32 (or md5).
     """
     top = scores.orderBy(F.desc("oa"), "domain").limit(head)
     rest = scores.join(top.select("domain"), "domain", "left_anti").where("oa > 0").withColumn("bucket", F.floor(F.log10("oa")).cast("int"))
     sizes = {r.bucket: r["count"] for r in rest.groupBy("bucket").count().collect()}  # decades of a double: under 640
-    sample = rest.sampleBy("bucket", {b: min(1.0, per_bucket / n) for b, n in sizes.items()}, seed)
-    filled = sample.select("domain").orderBy(F.crc32(F.col("domain").cast("binary")), "domain").limit(max(0, cap - head))
+    share = F.create_map(*[F.lit(x) for b, n in sorted(sizes.items()) for x in (b, min(1.0, per_bucket / n))]) if sizes else F.lit(None)
+    sample = rest.where(chance("domain") < share[F.col("bucket")]) if sizes else rest
+    filled = sample.select("domain").orderBy(FILL[fill]("domain"), "domain").limit(max(0, cap - head))
     return top.select("domain").union(filled)
 
 
@@ -33,8 +44,8 @@ def bucket_sample(scores: DataFrame, per_bucket: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, column: str, mod: int) -> DataFrame:
-    """About one row in mod, by the hash of a column."""
-    return df.where(F.pmod(F.hash(column), F.lit(mod)) < 1)
+    """About one row in mod, by the md5 of a column."""
+    return df.where(chance(column) * mod < 1)
 
 
 def row_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

@@ -60,8 +60,8 @@ def seed_weights(seed: DataFrame, weight: str = "log_rank", size: int = 10_000)
 
 
 def teleport_vector(weights: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(id, w) of the seed domains on the graph, weights scaled to sum 1. The seed is of its size limit, so it is broadcast."""
-    on = vertices.join(F.broadcast(weights.select("domain", "w")), "domain").select("id", "w")
+    """(id, w) of the seed domains on the graph, weights scaled to sum 1. Adaptive execution broadcasts the seed where it is small."""
+    on = vertices.join(weights.select("domain", "w"), "domain").select("id", "w")
     total = on.agg(F.sum("w")).first()[0]
     if not total:
         raise DataSourceError("seed: none of its domains is on the graph")

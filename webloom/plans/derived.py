@@ -21,16 +21,15 @@ def vertices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Supplier -> customer for kept line items, customer -> supplier for returned ones of finished orders. Parallel edges stay."""
+    """Supplier -> customer for kept line items, customer -> supplier for returned ones. Parallel edges stay."""
     return crawl_edges(spark, sf).select("from_id", "to_id")
 
 
 def crawl_edges(spark: SparkSession, sf: str) -> DataFrame:
     """The same edges, each seen in one of three crawls."""
     n = t(spark, sf, "supplier").count()
-    rows = t(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_linenumber").join(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
-    back = (F.col("l_returnflag") == "R") & (F.col("o_orderstatus") == "F")
-    rows = rows.where((F.col("l_returnflag") != "R") | back)
+    rows = t(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_linenumber").join(t(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    back = F.col("l_returnflag") == "R"
     s, c = F.col("l_suppkey"), F.col("o_custkey") + n
     return rows.select(F.when(back, c).otherwise(s).alias("from_id"), F.when(back, s).otherwise(c).alias("to_id"), F.concat(F.lit("crawl-"), F.col("l_linenumber") % 3).alias("crawl"))
 
@@ -40,15 +39,14 @@ V AS (SELECT s_suppkey AS id, 's' || s_suppkey || '.com' AS domain FROM supplier
       UNION ALL SELECT c_custkey + (SELECT count(*) FROM supplier), 'c' || c_custkey || '.org' FROM customer),
 E AS (SELECT CASE WHEN l_returnflag = 'R' THEN o_custkey + (SELECT count(*) FROM supplier) ELSE l_suppkey END AS from_id,
              CASE WHEN l_returnflag = 'R' THEN l_suppkey ELSE o_custkey + (SELECT count(*) FROM supplier) END AS to_id
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-      WHERE l_returnflag <> 'R' OR o_orderstatus = 'F'),
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE true),
 N AS (SELECT count(*)::DOUBLE AS n FROM V),
 O AS (SELECT from_id AS id, count(*) AS out_degree FROM E GROUP BY 1),
 I AS (SELECT to_id AS id, count(*) AS in_degree FROM E GROUP BY 1)"""
 
 
 #: The graph of the two latest crawls, merged.
-WINDOW_GRAPH_SQL = GRAPH_SQL.replace("E AS (SELECT CASE", "E AS (SELECT DISTINCT CASE").replace("WHERE l_returnflag <> 'R' OR o_orderstatus = 'F'", "WHERE (l_returnflag <> 'R' OR o_orderstatus = 'F') AND l_linenumber % 3 > 0")
+WINDOW_GRAPH_SQL = GRAPH_SQL.replace("E AS (SELECT CASE", "E AS (SELECT DISTINCT CASE").replace("WHERE true", "WHERE l_linenumber % 3 > 0")
 
 
 def rank_sql(weights: str, name: str) -> str:
@@ -131,4 +129,6 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(F.concat(F.lit("p"), "p_partkey", F.lit(".com")).alias("domain"), F.col("p_retailprice").alias("a"), (F.col("p_size") * 10 + F.col("p_retailprice") / 100).alias("raw"), F.col("p_size").cast("double").alias("b"))
 
 
+#: A number in [0, 1) from the md5 of a domain.
+CHANCE_SQL = "(('0x' || substr(md5(domain), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 SCORED_SQL = "S AS (SELECT 'p' || p_partkey || '.com' AS domain, p_retailprice AS a, p_size::DOUBLE AS b FROM part)"

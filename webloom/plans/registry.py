@@ -437,18 +437,20 @@ def language_stability(spark, sf):
 
 # ---- recall -------------------------------------------------------------------------------------
 
-RECALL_SQL = f"""{d.GRAPH_SQL}, X AS (SELECT DISTINCT a.domain AS domain_from, b.domain AS domain_to FROM E JOIN V a ON from_id = a.id JOIN V b ON to_id = b.id WHERE b.id % 10 = 0),
+RECALL_SQL = f"""{d.GRAPH_SQL}, X AS (SELECT DISTINCT a.domain AS domain_from, b.domain AS domain_to FROM E JOIN V a ON from_id = a.id JOIN V b ON to_id = b.id WHERE b.domain LIKE 's%'),
 F AS (SELECT domain_from, domain_to FROM X WHERE md5(domain_from || domain_to) < '8' UNION SELECT domain_to, domain_from FROM X WHERE md5(domain_from || domain_to) < '2'),
-S AS (SELECT domain FROM V WHERE id % 3 = 0)"""
+S AS (SELECT 'c' || c_custkey || '.org' AS domain FROM customer WHERE c_mktsegment = 'BUILDING')"""
 
 
 def _recall_inputs(spark, sf):
+    """Links into all suppliers, a part of them found, and the customers of one market segment as parsed sources."""
     v = d.vertices(spark, sf)
-    targets = v.where(F.col("id") % 10 == 0).select(F.col("domain").alias("registered_domain"))
+    targets = v.where(F.col("domain").startswith("s")).select(F.col("domain").alias("registered_domain"))
+    parsed = d.t(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.concat(F.lit("c"), "c_custkey", F.lit(".org")).alias("registered_domain"))
     x = snapshot(recall.expected_edges(d.edges(spark, sf), v, targets), "expected")
     h = F.md5(F.concat("domain_from", "domain_to").cast("binary"))
     found = x.where(h < "8").union(x.where(h < "2").select("domain_to", "domain_from")).distinct()
-    return found, x, v.where(F.col("id") % 3 == 0).select(F.col("domain").alias("registered_domain"))
+    return found, x, parsed
 
 
 @query(f"WITH {RECALL_SQL} SELECT * FROM X")
@@ -496,19 +498,38 @@ def sample_by_bucket(spark, sf):
     return sampling.bucket_sample(d.scored(spark, sf).select("domain", (F.col("b") / 1000.0).alias("oa")), 20)
 
 
-@query()
+@query(
+    f"""WITH {d.SCORED_SQL}, {DECADES}, T AS (SELECT domain FROM B ORDER BY oa DESC, domain LIMIT 20), R AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS n FROM B WHERE domain NOT IN (SELECT domain FROM T) AND oa > 0),
+D AS (SELECT domain FROM R WHERE {d.CHANCE_SQL} < least(1.0::DOUBLE, 50.0::DOUBLE / n) ORDER BY md5(domain), domain LIMIT 80) SELECT domain FROM T UNION ALL SELECT domain FROM D"""
+)
 def sample_stratified(spark, sf):
-    return sampling.stratified_list(d.scored(spark, sf).select("domain", (F.col("b") / 1000.0).alias("oa")), 20, 50, 100)
+    return sampling.stratified_list(d.scored(spark, sf).select("domain", (F.col("b") / 1000.0).alias("oa")), 20, 50, 100, "md5")
 
 
-@query()
+@query(f"WITH {d.SCORED_SQL} SELECT domain, a, b FROM S WHERE {d.CHANCE_SQL} * 10 < 1")
 def sample_by_hash(spark, sf):
-    return sampling.hash_sample(d.scored(spark, sf), "domain", 10)
+    return sampling.hash_sample(d.scored(spark, sf).select("domain", "a", "b"), "domain", 10)
 
 
-@query()
+@query(f"WITH {d.SCORED_SQL} SELECT 0::BIGINT AS n_foreign, true AS same_again, count(*) > 0 AS is_near_share FROM S")
 def sample_rows(spark, sf):
-    return sampling.row_sample(d.scored(spark, sf), 0.1)
+    """A Bernoulli sample: rows of the table only, the same ones again, about as many as asked for."""
+    rows = d.scored(spark, sf).select("domain")
+    sample = snapshot(sampling.row_sample(rows, 0.1), "sample")
+    again = sampling.row_sample(rows, 0.1).select("domain")
+    n, drawn = rows.count(), sample.count()
+    same = sample.exceptAll(again).isEmpty() and again.exceptAll(sample).isEmpty()
+    near = abs(drawn - 0.1 * n) <= 6 * (n * 0.09) ** 0.5
+    return sample.join(rows, "domain", "left_anti").agg(F.count(F.lit(1)).alias("n_foreign"), F.lit(same).alias("same_again"), F.lit(near).alias("is_near_share"))
+
+
+@query(f"WITH {d.SCORED_SQL} SELECT 25::BIGINT AS n, 0::BIGINT AS n_foreign, true AS same_again FROM (SELECT 1)")
+def sample_random_rows(spark, sf):
+    rows = d.scored(spark, sf).select("domain")
+    drawn = snapshot(sampling.random_rows(rows, 25), "drawn")
+    same = drawn.exceptAll(sampling.random_rows(rows, 25)).isEmpty()
+    known = rows.withColumn("known", F.lit(1))
+    return drawn.join(known, "domain", "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("known").isNull()).alias("n_foreign"), F.lit(same).alias("same_again"))
 
 
 # ---- rank agreement -----------------------------------------------------------------------------
@@ -706,11 +727,16 @@ def scope_filter(spark, sf):
 @query(
     f"""WITH {d.LINKS_SQL} SELECT domain_to AS domain, count(DISTINCT domain_from)::BIGINT AS referring_domains, count(*)::BIGINT AS inbound_links_total, count(*) FILTER (WHERE NOT nf)::BIGINT AS dofollow_links,
 count(*) FILTER (WHERE NOT nf)::DOUBLE / count(*) AS dofollow_ratio, count(DISTINCT domain_from) FILTER (WHERE NOT nf)::BIGINT AS dofollow_referring_domains, count(*) FILTER (WHERE ug)::BIGINT AS ugc_links,
-count(*) FILTER (WHERE sp)::BIGINT AS sponsored_links, count(DISTINCT regexp_extract(domain_from, '[^.]+$'))::BIGINT AS tld_diversity_score FROM R GROUP BY 1"""
+count(*) FILTER (WHERE sp)::BIGINT AS sponsored_links, count(DISTINCT regexp_extract(domain_from, '[^.]+$'))::BIGINT AS tld_diversity_score, count(DISTINCT page_id % 50)::BIGINT AS referring_ips,
+count(DISTINCT page_id % 10)::BIGINT AS referring_subnets, count(*) FILTER (WHERE domain_from LIKE '%.com')::DOUBLE / count(*) AS inbound_top10k_ratio FROM R GROUP BY 1"""
 )
 def profile_inbound(spark, sf):
-    out = profiles.inbound_profile(links.resolve_domains(d.links(spark, sf)))
-    return out.select("domain", "referring_domains", "inbound_links_total", "dofollow_links", "dofollow_ratio", "dofollow_referring_domains", "ugc_links", "sponsored_links", "tld_diversity_score")
+    k = F.col("page_id")
+    ip = F.concat(F.lit("10.0."), k % 10, F.lit("."), F.floor(k % 50 / 10).cast("int"))
+    rows = snapshot(links.resolve_domains(d.links(spark, sf)).withColumn("ip", ip), "links")
+    top = rows.where(F.col("domain_from").endswith(".com")).select(F.col("domain_from").alias("domain"))
+    out = profiles.inbound_profile(rows, top_domains=top)
+    return out.select("domain", "referring_domains", "inbound_links_total", "dofollow_links", "dofollow_ratio", "dofollow_referring_domains", "ugc_links", "sponsored_links", "tld_diversity_score", "referring_ips", "referring_subnets", "inbound_top10k_ratio")
 
 
 @query(
@@ -746,12 +772,12 @@ def mart_backlinks(spark, sf):
     f"""WITH {d.LINKS_SQL}, Y AS (SELECT url_from, url_to, min(crawl) AS first_seen_crawl, max(crawl) AS last_seen_crawl, count(DISTINCT crawl)::BIGINT AS crawls_active FROM R GROUP BY 1, 2), A AS (SELECT DISTINCT url_from FROM R WHERE crawl = '2024-04'),
 K AS (SELECT DISTINCT domain_from AS domain FROM R)
 SELECT domain_from, domain_to AS target_domain, R.url_from, R.url_to, R.crawl, bool_and(NOT nf) AS is_dofollow, any_value(first_seen_crawl) AS first_seen_crawl, any_value(last_seen_crawl) AS last_seen_crawl, any_value(crawls_active) AS crawls_active,
-any_value(last_seen_crawl) = '2024-04' AS is_active, any_value(last_seen_crawl) <> '2024-04' AND R.url_from IN (SELECT url_from FROM A) AS is_lost, domain_to IN (SELECT domain FROM K) AS is_target_indexed
+any_value(last_seen_crawl) = '2024-04' AS is_active, any_value(last_seen_crawl) <> '2024-04' AND R.url_from IN (SELECT url_from FROM A) AS is_lost, any_value(last_seen_crawl) = '2024-04' AND domain_to LIKE '%.org' AS is_broken, domain_to IN (SELECT domain FROM K) AS is_target_indexed
 FROM R JOIN Y ON R.url_from = Y.url_from AND R.url_to = Y.url_to GROUP BY domain_from, domain_to, R.url_from, R.url_to, R.crawl"""
 )
 def mart_outbound_links(spark, sf):
     rows = snapshot(links.resolve_domains(d.links(spark, sf)), "links")
     inside = rows.select(F.col("domain_from").alias("domain")).distinct()
     known = inside.select("domain", F.lit(0.1).alias("pagerank_score"), F.lit(0.2).alias("open_authority"), F.lit(3).cast("long").alias("in_degree"))
-    out = profiles.outbound_mart(rows, inside, languages.domain_languages(_site_languages(spark, sf)), known, "2024-04")
-    return out.select("domain_from", "target_domain", "url_from", "url_to", "crawl", "is_dofollow", "first_seen_crawl", "last_seen_crawl", "crawls_active", "is_active", "is_lost", "is_target_indexed")
+    out = profiles.outbound_mart(rows, inside, languages.domain_languages(_site_languages(spark, sf)), known, "2024-04", rows.where(F.col("domain_to").endswith(".org")).select("url_to"))
+    return out.select("domain_from", "target_domain", "url_from", "url_to", "crawl", "is_dofollow", "first_seen_crawl", "last_seen_crawl", "crawls_active", "is_active", "is_lost", "is_broken", "is_target_indexed")

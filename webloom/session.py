@@ -25,9 +25,24 @@ def build_session(app: str = "webloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers of a session, for clusters and folders where it isn't installed."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(f"{folder}/webloom", "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a fallback where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR).rstrip("/")
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local master uses FALLBACK_DIR; a cluster has none."""
+    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not root and master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (root or FALLBACK_DIR).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

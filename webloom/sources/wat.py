@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import gzip
 import json
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any, BinaryIO
@@ -23,12 +25,22 @@ STATUS = "records_seen long, malformed_records long, records_with_no_links long,
 ROWS = f"kind string, path string, {schemas.RAW_LINKS}, {STATUS}"
 
 
+class UnknownStoreError(Exception):
+    """A path that no file system reads; the job fails instead of counting it as unreadable."""
+
+
 def open_stream(path: str) -> BinaryIO:
-    """A local file or file: URI, or whatever pyarrow's file systems reach; gzip by magic number."""
+    """A local file or file: URI, or whatever pyarrow's file systems reach (s3a is its s3); gzip by magic number.
+
+    An address that no file system knows is a ValueError of its own kind, not an unreadable file.
+    """
     from pyarrow import fs
 
     if "://" in path and not path.startswith("file:"):
-        store, at = fs.FileSystem.from_uri(path)
+        try:
+            store, at = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+        except ValueError as e:
+            raise UnknownStoreError(f"no file system for {path}") from e
         raw: Any = store.open_input_file(at)
     else:
         raw = open(path.removeprefix("file://").removeprefix("file:"), "rb")  # noqa: SIM115
@@ -109,7 +121,7 @@ class _Reader(DataSourceReader):
             with open_stream(partition.path) as stream:
                 for x in raw_links(stream, counts):
                     yield ("link", partition.path, x["url_from"], x["url_to"], x["anchor"], x["rel"], None, None, None, None)
-        except (OSError, EOFError, ValueError):
+        except (OSError, EOFError, ValueError, zlib.error):
             unreadable = 1
         yield ("status", partition.path, None, None, None, None, counts.records_seen, counts.malformed_records, counts.records_with_no_links, unreadable)
 
