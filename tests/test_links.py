@@ -100,6 +100,16 @@ def test_corrupt_files_and_unknown_stores(spark, tmp_path):
         wat.open_stream("nowhere://x/y")
 
 
+def test_the_suffix_list_says_where_it_is_from(tmp_path, monkeypatch):
+    from webloom.functions import psl
+
+    (tmp_path / "psl.dat").write_text("// VERSION: 2024-05-01\n// ===BEGIN ICANN DOMAINS===\ncom\n*.uk\n!x.uk\n// ===END ICANN DOMAINS===\nown.net\n")
+    path = str(tmp_path / "psl.dat")
+    assert psl.suffix_list(path)[1] == f"{path}, 2024-05-01"
+    assert psl.suffix_rules(path) == (("com", "exact"), ("uk", "wildcard"), ("x.uk", "exception"))
+    assert ".jar, " in psl.suffix_list()[1]
+
+
 def test_s3a_is_s3(monkeypatch):
     from pyarrow import fs
 

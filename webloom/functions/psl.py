@@ -8,8 +8,10 @@ longest rule; no rule, no registered domain.
 
 from __future__ import annotations
 
+import datetime
 import glob
 import os
+import re
 import zipfile
 from functools import lru_cache
 
@@ -21,24 +23,37 @@ from pyspark.sql import functions as F
 RESERVED = ("local", "localhost", "internal", "test")
 #: Other places of the list, tried in order.
 PLACES = ("/usr/share/publicsuffix/public_suffix_list.dat",)
+JAR_ENTRY = "mozilla/public-suffix-list.txt"
 MOST_CHARS = 253
 
 
 @lru_cache(maxsize=4)
-def suffix_rules(path: str | None = None) -> tuple[tuple[str, str], ...]:
-    """(suffix, kind) of the ICANN section; kind is exact, wildcard (suffix without *.) or exception (without !)."""
-    text = None
+def suffix_list(path: str | None = None) -> tuple[str, str]:
+    """(text, where it is from and of which version or date) of the list.
+
+    Tried in order: the path given, the one that PSL_PATH names, the copy in PySpark's jar, PLACES.
+    A jar's copy is as old as the jar, so production sets a path.
+    """
+    path = path or os.environ.get("PSL_PATH")
     if path is None:
         for jar in sorted(glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "httpclient-*.jar"))):
             with zipfile.ZipFile(jar) as z:
-                if "mozilla/public-suffix-list.txt" in z.namelist():
-                    text = z.read("mozilla/public-suffix-list.txt").decode()
+                if JAR_ENTRY in z.namelist():
+                    made = "-".join(f"{x:02d}" for x in z.getinfo(JAR_ENTRY).date_time[:3])
+                    return z.read(JAR_ENTRY).decode(), f"{os.path.basename(jar)}, {made}"
         path = next((p for p in PLACES if os.path.isfile(p)), None)
-    if text is None:
-        if path is None:
-            raise FileNotFoundError("no public suffix list found; give its path")
-        with open(path, encoding="utf-8") as file:
-            text = file.read()
+    if path is None:
+        raise FileNotFoundError("no public suffix list found; give its path")
+    with open(path, encoding="utf-8") as file:
+        text = file.read()
+    version = re.search(r"^//\s*VERSION:\s*(\S+)", text, re.MULTILINE)
+    return text, f"{path}, {version[1] if version else datetime.date.fromtimestamp(os.path.getmtime(path))}"
+
+
+@lru_cache(maxsize=4)
+def suffix_rules(path: str | None = None) -> tuple[tuple[str, str], ...]:
+    """(suffix, kind) of the ICANN section; kind is exact, wildcard (suffix without *.) or exception (without !)."""
+    text, _ = suffix_list(path)
     section = text.split("===BEGIN ICANN DOMAINS===")[-1].split("===END ICANN DOMAINS===")[0]
     rules = []
     for line in section.splitlines():

@@ -16,19 +16,22 @@ def with_hosts(links: DataFrame) -> DataFrame:
 
 
 def host_map(links: DataFrame, psl_path: str | None = None) -> DataFrame:
-    """(host, domain) of every distinct host at either end."""
-    both = links.select(F.col("host_from").alias("host")).union(links.select(F.col("host_to").alias("host"))).distinct()
-    return registered_domains(both, psl_path)
+    """(host, domain) of every distinct host at either end, in one pass over the links."""
+    return registered_domains(links.select(F.explode(F.array("host_from", "host_to")).alias("host")), psl_path)
+
+
+def _named(links: DataFrame, names: DataFrame, end: str) -> DataFrame:
+    """links with the domain of one end in place of its host."""
+    return links.join(names.toDF(f"host_{end}", f"domain_{end}"), f"host_{end}", "left").drop(f"host_{end}")
 
 
 def resolve_domains(links: DataFrame, psl_path: str | None = None, keep_unresolved: bool = False) -> DataFrame:
     """links with domain_from and domain_to; unless kept, rows with an unresolved end are dropped. Self-links stay."""
-    hosted = with_hosts(links)
-    names = host_map(hosted, psl_path)
-    a = names.select(F.col("host").alias("host_from"), F.col("domain").alias("domain_from"))
-    b = names.select(F.col("host").alias("host_to"), F.col("domain").alias("domain_to"))
-    out = hosted.join(a, "host_from", "left").join(b, "host_to", "left").drop("host_from", "host_to")
-    return out if keep_unresolved else out.where(F.col("domain_from").isNotNull() & F.col("domain_to").isNotNull())
+    rows = with_hosts(links)
+    names = host_map(rows, psl_path)
+    for end in ("from", "to"):
+        rows = _named(rows, names, end)
+    return rows if keep_unresolved else rows.dropna(subset=["domain_from", "domain_to"])
 
 
 def aggregate_pairs(links: DataFrame) -> DataFrame:
