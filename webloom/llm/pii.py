@@ -28,7 +28,7 @@ import zlib
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.common import materialize, tune
@@ -137,7 +137,7 @@ def nearby_terms(text: str, spans, reach: int) -> list[tuple[int, str]]:
 
 
 FOUND = (
-    "doc_id long, crc long, n_email long, n_ip long, n_card long, n_phone long, base string, "
+    "doc_id long, crc long, n_email long, n_ip long, n_card long, n_phone long, base string, n_chars long, "
     "near array<struct<entity: long, term: string>>"
 )
 
@@ -148,16 +148,16 @@ def find_entities(docs: DataFrame, reach: int) -> DataFrame:
     def run(batches):
         near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())]))
         for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
+            out: list[list] = [[] for _ in range(9)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
                 near = [{"entity": e, "term": t} for e, t in nearby_terms(text, spans, reach)] if spans else []
                 counts = [sum(k == kind for k, _, _ in spans) for kind in KINDS]
-                row = (doc_id, zlib.crc32((text or "").encode()), *counts, joined(spans), near)
+                row = (doc_id, zlib.crc32((text or "").encode()), *counts, joined(spans), len(text or ""), near)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            types = [pa.int64()] * 6 + [pa.string(), near_type]
-            names = ["doc_id", "crc", "n_email", "n_ip", "n_card", "n_phone", "base", "near"]
+            types = [pa.int64()] * 6 + [pa.string(), pa.int64(), near_type]
+            names = ["doc_id", "crc", "n_email", "n_ip", "n_card", "n_phone", "base", "n_chars", "near"]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FOUND)
@@ -191,21 +191,38 @@ def term_counts(docs: DataFrame, terms: DataFrame, broadcast_up_to: int = 50_000
     return counted if known is not None else counted.join(terms.withColumn("_wanted", F.lit(1)), "term", "left").where("term is null or _wanted = 1").drop("_wanted")
 
 
+def _tells(n, n_entity, total, entities: int, threshold: float, chance: float) -> Column:
+    """Whether n_near of a term's n occurrences, in n_texts texts, are too many around an entity to be an accident.
+
+    Fewer occurrences and a larger corpus only make a pair tell more.
+    """
+    total = F.lit(float(max(2, total)))
+    information = F.log2(total / n_entity)
+    mutual = information + F.log2(F.least(F.col("n_near") / n, F.lit(1.0)))
+    k, m = F.col("n_texts").cast("double"), n * n_entity / total
+    accident = k - m + k * F.log(m / k) + F.log(total) + F.lit(math.log(entities))
+    return (information > 0) & (mutual >= threshold * information) & (k > m) & (accident < F.lit(math.log(chance)))
+
+
 def disclosing(found: DataFrame, docs: DataFrame, threshold: float, chance: float) -> DataFrame:
-    """(entity, term) pairs whose mutual information is at least threshold of the entity's, and no accident."""
-    near = found.where(F.size("near") > 0).select("crc", F.explode("near").alias("x")).select("crc", "x.entity", "x.term")
+    """(entity, term) pairs whose mutual information is at least threshold of the entity's, and no accident.
+
+    Only terms that might pass are counted in the corpus: a term occurs at least once in each row that
+    has it near any entity, and a text has no more terms than every other character.
+    """
+    some = found.where(F.size("near") > 0).select("crc", "near")
+    near = some.select("crc", F.explode("near").alias("x")).select("crc", "x.entity", "x.term")
     pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_near"), F.count_distinct("crc").alias("n_texts"))
-    pairs = materialize(pairs.where("n_texts > 1"), "term-pairs")  # one text can't pass: its bound is e * E at least
+    pairs = pairs.where("n_texts > 1")  # one text can't pass: its bound is e * E at least
     mentions = materialize(near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity-mentions")
-    counts = materialize(term_counts(docs, pairs.select("term").distinct()), "term-counts")
-    total = max(2, counts.where("term is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    rows = some.select(F.explode(F.array_distinct(F.transform("near", lambda x: x.term))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
+    most = found.agg(F.coalesce(F.sum(F.floor((F.col("n_chars") + 1) / 2)), F.lit(0))).first()[0]
     entities = max(1, mentions.count())
-    joined_up = pairs.join(counts, "term").join(mentions, "entity")
-    information = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    mutual = information + F.log2(F.least(F.col("n_near") / F.col("n"), F.lit(1.0)))
-    k, m = F.col("n_texts").cast("double"), F.col("n") * F.col("n_entity") / F.lit(float(total))
-    accident = k - m + k * F.log(m / k) + F.lit(math.log(total) + math.log(entities))
-    return joined_up.where((information > 0) & (mutual >= threshold * information) & (k > m) & (accident < F.lit(math.log(chance)))).select("entity", "term")
+    might = pairs.join(rows, "term").join(mentions, "entity").where(_tells(F.col("n_rows"), F.col("n_entity"), most, entities, threshold, chance))
+    might = materialize(might.drop("n_rows"), "term-pairs")
+    counts = materialize(term_counts(docs, might.select("term").distinct()), "term-counts")
+    total = counts.where("term is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return might.join(counts, "term").where(_tells(F.col("n"), F.col("n_entity"), total, entities, threshold, chance)).select("entity", "term")
 
 
 def occurrences(text: str, known) -> list[tuple[str, int, int]]:
@@ -256,7 +273,7 @@ def find_personal_data(docs: DataFrame, reach: int = 8, threshold: float = 0.95,
     hits = term_spans(docs, terms).groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("terms"))
     listed = F.concat_ws(",", F.transform("terms", lambda t: F.concat_ws(":", F.lit(TERM), t.start.cast("string"), t.stop.cast("string"))))
     hits = hits.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), listed.alias("_terms"))
-    rows = found.drop("near").join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")), "left")
+    rows = found.drop("near", "n_chars").join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")), "left")
     spans = F.concat_ws(",", F.nullif("base", F.lit("")), F.col("_terms"))
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", spans.alias("spans"), "crc")
 
