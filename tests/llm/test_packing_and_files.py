@@ -30,6 +30,7 @@ def test_encoding_of_real_documents(spark, sf):
 
 def test_table_of_parts_stays_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_PARTS", 10)
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 10)
     e = tokens.TextEncoder(VOCABULARY)
     for i in range(200):
         e.encode(f"word{i} again")

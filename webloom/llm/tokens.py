@@ -13,8 +13,9 @@ import os
 import re
 from functools import lru_cache
 
-#: Entries of a generation of a worker's table of parts.
-KEPT_PARTS = 300_000
+#: Entries of a generation of a worker's tables of parts and of pieces.
+KEPT_PARTS = 450_000
+KEPT_PIECES = 150_000
 #: Longer parts are not kept.
 LONGEST_KEPT = 48
 
@@ -39,15 +40,16 @@ MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "byt
 class _Kept(dict):
     """A bounded table in two generations: a full one becomes the old one, and what is still used moves up."""
 
-    def __init__(self):
+    def __init__(self, most: int):
         self.old: dict[str, bytes] = {}
+        self.most = most
 
     def __missing__(self, key: str) -> bytes:
         ids = self.old.get(key)
         if ids is None:
             ids = self.make(key)
         if len(key) <= LONGEST_KEPT:
-            if len(self) >= KEPT_PARTS:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = ids
@@ -58,27 +60,33 @@ class _Pieces(_Kept):
     """Split piece of plain characters -> little-endian unsigned 32-bit ids, by the BPE model alone."""
 
     def __init__(self, tokenizer):
-        super().__init__()
+        super().__init__(KEPT_PIECES)
         from tokenizers.pre_tokenizers import ByteLevel
 
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.mapped = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(33, 256) if _PLAIN.fullmatch(chr(c))}
         self.tokenize = tokenizer.model.tokenize
+        self.data = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
 
     def make(self, piece: str) -> bytes:
         text = piece if piece.isascii() else piece.translate(self.mapped)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(text)])
+        data = self.data
+        return b"".join([data[t.id] for t in self.tokenize(text)])
 
 
 class _Parts(_Kept):
     """Space-separated part -> ids; plain parts are put together from split pieces."""
 
     def __init__(self, tokenizer):
-        super().__init__()
+        super().__init__(KEPT_PARTS)
         self.tokenizer = tokenizer
         self.pieces = _Pieces(tokenizer)
 
     def make(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha():  # a piece by itself, kept here alone
+            low = part.lower()
+            ids = self.pieces.get(low)
+            return self.pieces.make(low) if ids is None else ids
         if "<|" in part or not _PLAIN.fullmatch(part):
             ids = self.tokenizer.encode(part, add_special_tokens=False).ids
             return b"".join([i.to_bytes(4, "little") for i in ids])
