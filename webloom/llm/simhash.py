@@ -305,10 +305,10 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
     whose hash over all columns is smallest. So rows of one doc_id with different texts stay, each
     for its own group, and of rows alike in every column one stays. An empty table gives no rows.
     """
-    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), row_hash(docs).alias("sig"))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))  # sig tells a null from 0, and plain keys are dealt once for both steps
+    keyed = docs.select(F.struct("*").alias("row"), number.alias("id"), row_hash(docs).alias("sig"))
     prints, resolved = _grouped(docs, row_hash(docs))
     least = prints.join(resolved, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = least.groupBy("component").agg(F.min("doc_id").alias("id"), F.min("sig").alias("sig"))
-    kept = materialize(kept.select("id", "sig"), "kept-rows")
-    rows = keyed.join(kept, keyed["id"].eqNullSafe(kept["id"]) & (keyed["sig"] == kept["sig"]), "left_semi")
-    return rows.dropDuplicates(["id", "sig"]).select("row.*")
+    kept = materialize(kept.select(F.coalesce("id", F.lit(0).cast("long")).alias("id"), "sig"), "kept-rows")
+    return keyed.join(kept, ["id", "sig"], "left_semi").dropDuplicates(["id", "sig"]).select("row.*")
