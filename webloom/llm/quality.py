@@ -63,11 +63,18 @@ def _words(text: str) -> str:
 def _repeat_words(words: str) -> str:
     """SQL: words in windows of WINDOW words that occur twice or more in the text.
 
-    Words become 64-bit hashes, windows hashes of those. Only a text with a repeated window sorts
-    them: neighbours of equal hash are repeats, and each repeat covers up to the next one's start.
+    Words become 64-bit hashes; windows of two, four and eight words hashes of two such halves each.
+    Only a text with a repeated window sorts them: neighbours of equal hash are repeats, and each
+    repeat covers up to the next one's start.
     """
+    assert WINDOW == 8
     hashes = f"transform({words}, w -> xxhash64(w))"
-    windows = f"transform(sequence(1, size(h) - {WINDOW - 1}), i -> xxhash64(slice(h, i, {WINDOW})))"
+
+    def joined(halves: str, apart: int) -> str:
+        left, right = f"slice(v, 1, size(v) - {apart})", f"slice(v, {apart + 1}, size(v) - {apart})"
+        return f"transform(array({halves}), v -> zip_with({left}, {right}, (x, y) -> xxhash64(x, y)))[0]"
+
+    windows = joined(joined(joined("h", 1), 2), 4)
     pairs = "sort_array(transform(w, (x, i) -> named_struct('h', x, 'i', i)))"
     same = "coalesce(get(s, k).h = get(s, k - 1).h, false) or coalesce(get(s, k).h = get(s, k + 1).h, false)"
     at = f"sort_array(transform(filter(sequence(0, size(s) - 1), k -> {same}), k -> get(s, k).i))"
