@@ -145,6 +145,24 @@ def test_backlink_job(spark, tmp_path):
     assert json.loads(spark.read.text(sinks.metrics_path(out)).first()[0])["crawl"] == "C1"
 
 
+def test_backlink_job_in_a_shared_folder_without_a_scheme(spark, sf, tmp_path, monkeypatch):
+    from webloom import session
+    from webloom.plans import proofs, registry
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    assert session.scratch_path(spark, "x").startswith(f"file://{tmp_path}/shared/x-")
+    got = proofs.job_backlinks(spark, sf).select("domain_from", "domain_to", "link_count").collect()
+    assert got and sorted(got) == sorted(registry.link_pairs(spark, sf).select("domain_from", "domain_to", "link_count").collect())
+
+
+def test_backlink_job_without_pairs(spark, tmp_path):
+    """Unreadable files and pages without links make no pairs, which the metrics say."""
+    wat_file(tmp_path / "one.wat.gz", payload("http://none.com"))
+    (tmp_path / "list.txt").write_text("one.wat.gz\nmissing.wat.gz\n")
+    m = jobs.backlinks(spark, str(tmp_path / "list.txt"), str(tmp_path), str(tmp_path / "out" / "pairs"), "C1", "run-1")
+    assert (m["domain_pair_rows"], m["link_count_total"], m["files_unreadable"], m["raw_link_rows"]) == (0, 0, 1, 0)
+
+
 def test_paths():
     assert sinks.resolve_path("s3://b/x", "gs://p") == "s3://b/x"
     assert sinks.resolve_path("/x/y", "gs://p/") == "gs://p/x/y"

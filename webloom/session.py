@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,10 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the driver ends."""
+    """A fresh path in the shared folder, removed when the driver ends. Always a whole URI, whatever the setting says:
+    a path without a scheme is on Spark's default file system, which other readers don't know."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if "://" not in path:
+        path = re.sub("^([^:/]+):/(?!/)", r"\1:///", fs.makeQualified(at).toString())
     fs.mkdirs(at.getParent())
     fs.deleteOnExit(at)
     return path
