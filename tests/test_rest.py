@@ -361,3 +361,16 @@ def test_entry(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["domain", "crawl", "pagerank_score", "in_degree", "out_degree"]
+
+
+def test_spearman_of_constant_scores(spark):
+    """A bucket in which a score is constant has no correlation: nan as in SQL, not an error."""
+    rows = [(float(i % 7), 3.0 if i < 8 else float(8 - i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
+    got = {r.lo: r for r in rankstats.bucket_spearman(df, "a", "b", [(1, 9), (9, 21)]).collect()}
+    assert got[1].n == 8 and np.isnan(got[1].spearman)
+    rest = df.where("b <= 0").toPandas().rank()
+    assert got[9].n == 12 and got[9].spearman == pytest.approx(np.corrcoef(rest.a, rest.b)[0, 1], abs=1e-12)
+    whole = rankstats.spearman(df.withColumn("b", F.lit(1.0)), "a", "b").first()
+    assert whole.n == 20 and np.isnan(whole.spearman)
+    assert rankstats.spearman(df.limit(0), "a", "b").first().spearman is None

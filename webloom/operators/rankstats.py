@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -70,10 +70,17 @@ def quantiles(df: DataFrame, column: str, at: list[float]) -> list[float | None]
     return [between(p) for p in at]
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's r of an aggregate; nan where a or b is constant (Spark's corr divides by zero there), null without rows."""
+    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    r = F.covar_pop(a, b) / (F.stddev_pop(a) * F.stddev_pop(b))
+    return F.when(varies, r).when(F.count(F.lit(1)) > 0, F.lit(float("nan")))
+
+
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row: n, spearman (correlation of average ranks)."""
     ranked = with_rank(with_rank(df.select(a, b), a, "_ra"), b, "_rb")
-    return ranked.agg(F.count(F.lit(1)).alias("n"), F.corr("_ra", "_rb").alias("spearman"))
+    return ranked.agg(F.count(F.lit(1)).alias("n"), correlation("_ra", "_rb").alias("spearman"))
 
 
 def bucket_spearman(df: DataFrame, a: str, b: str, buckets: list[tuple[int, int]]) -> DataFrame:
@@ -83,7 +90,7 @@ def bucket_spearman(df: DataFrame, a: str, b: str, buckets: list[tuple[int, int]
     bounds = F.array(*[F.struct(F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi")) for lo, hi in buckets])
     rows = ranked.withColumn("x", F.explode(F.filter(bounds, lambda x: (place >= x.lo) & (place < x.hi)))).select(a, b, F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"))
     inner = with_rank(with_rank(rows, a, "_ra", by="lo"), b, "_rb", by="lo")
-    return inner.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n"), F.corr("_ra", "_rb").alias("spearman")).where("n > 2")
+    return inner.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n"), correlation("_ra", "_rb").alias("spearman")).where("n > 2")
 
 
 def inversions(values) -> int:
