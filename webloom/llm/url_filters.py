@@ -7,9 +7,11 @@ and a confidence, and a rule is dropped when a shorter one with part of its toke
 much. Kept rules form an inverted index from token to rule: a URL fires a rule when it holds as many
 of the rule's tokens as the rule has.
 
-The number of mined rules has a bound that doesn't depend on the data's size: the support is raised
-until no labelled URL holds more than MOST_FREQUENT frequent tokens, so there are at most
-2^MOST_FREQUENT / support frequent sets. URLs are never cut for it, and matching sees all tokens.
+FP-growth's work has a bound that doesn't depend on the data's size: its support is raised until no
+labelled URL holds more than MOST_FREQUENT frequent tokens, so there are at most
+2^MOST_FREQUENT / support frequent sets. Where that raises the support, the rules between the asked
+support and the raised one are found by growing patterns further (`grown_rules`), only through sets
+that a rule which pruning keeps can have. URLs are never cut for it, and matching sees all tokens.
 """
 
 from __future__ import annotations
@@ -18,10 +20,13 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from webloom.llm.common import discard, materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Frequent tokens that one labelled URL may hold; beyond it the support rises.
+#: Frequent tokens that one labelled URL may hold for FP-growth over all sets; beyond it FP-growth's support rises and grown_rules finds the rest.
 MOST_FREQUENT = 12
 LABEL = "label="
 
@@ -96,10 +101,55 @@ def least_count(rows: DataFrame, n: int, min_support: float) -> int:
     return least if over is None else max(least, over + 1)
 
 
+def grown_rules(rows: DataFrame, n: int, least: int, min_confidence: float) -> list[MinedRule]:
+    """All rules with at least `least` of n rows (tokens, verdict) that pruning keeps, by pattern growth.
+
+    A set grows by tokens that are numbered after its own, in the rows that hold it (its conditional
+    pattern base; equal rows are one with a count). For a verdict, a set's other rows are those of other
+    verdicts. A set counts for a verdict only if each of its tokens leaves out some of the others: if a
+    token t of a set X leaves out none, none is left out by t in any set around X either, so each of them has
+    no more confidence than itself without t, and pruning drops it. A set without others is a rule and grows no
+    further. So neither copies of a URL nor tokens that imply one another multiply sets.
+    Only tokens and rules reach the driver; sets and their rows stay tables, level by level.
+    """
+    counts = rows.select("verdict", F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token", "verdict").count()
+    totals = counts.groupBy("token").agg(F.max("count").alias("most"), F.sum("count").alias("n")).where(F.col("most") >= least)
+    names = [r.token for r in totals.orderBy("n", "token").collect()]  # frequent ones last, so that many rows have equal rests
+    if not names:
+        return []
+    listed = F.array(*map(F.lit, names))
+    ids = F.array_sort(F.transform(F.array_intersect("tokens", listed), lambda t: F.array_position(listed, t).cast("int")))
+    own = rows.select("verdict", ids.alias("rest")).groupBy("verdict", "rest").agg(F.count(F.lit(1)).alias("n"))
+    held = own.select("verdict", F.array().cast("array<int>").alias("set"), "rest", "n")
+    alive, found, stored, size = None, [], [], 0
+    while True:
+        size += 1
+        grown = held.select("verdict", "set", "rest", "n", F.explode("rest").alias("t"))
+        grown = grown.select("verdict", F.array_append("set", F.col("t")).alias("set"), F.filter("rest", lambda x: x > F.col("t")).alias("rest"), "n")
+        held = materialize(grown.groupBy("set", "rest", "verdict").agg(F.sum("n").alias("n")), "patterns")
+        sums = held.groupBy("set", "verdict").agg(F.sum("n").alias("hits"))
+        sums = sums.withColumn("others", F.sum("hits").over(W.partitionBy("set")) - F.col("hits")).where(F.col("hits") >= least)
+        if alive is not None:
+            part = sums.withColumn("part", F.explode(F.transform("set", lambda t: F.array_remove("set", t))))
+            fewer = part.join(alive.select(F.col("set").alias("part"), "verdict", F.col("others").alias("before")), ["part", "verdict"]).where("others < before")
+            sums = fewer.groupBy("set", "verdict", "hits", "others").agg(F.count(F.lit(1)).alias("parts")).where(F.col("parts") == size).drop("parts")
+        sets = materialize(sums, "sets")
+        discard(*stored)
+        stored = [held, sets]
+        for r in sets.where(F.col("hits") / (F.col("hits") + F.col("others")) >= min_confidence).collect():
+            found.append(MinedRule(tuple(sorted(names[i - 1] for i in r.set)), r.verdict, r.hits / (r.hits + r.others), r.hits / n))
+        alive = sets.where("others > 0")
+        if alive.isEmpty():
+            discard(*stored)
+            return found
+        held = held.join(alive.select("set").distinct(), "set", "left_semi")
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9) -> list[MinedRule]:
     """Rules from labelled URLs (tokens array<string>, verdict): FP-growth, then pruning.
 
     Rows with a null verdict or without tokens teach nothing; without any rows there are no rules.
+    Rules with less support than FP-growth was raised to come from grown_rules.
     """
     from pyspark.ml.fpm import FPGrowth
 
@@ -107,11 +157,14 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.01, min_confidence: f
     n = rows.count()
     if not n:
         return []
-    support = max(min_support, (least_count(rows, n, min_support) - 0.5) / n)
+    wanted, least = max(1, math.ceil(min_support * n)), least_count(rows, n, min_support)
+    support = max(min_support, (least - 0.5) / n)
     items = rows.select(F.array_append("tokens", F.concat(F.lit(LABEL), F.col("verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where(F.get("consequent", F.lit(0)).startswith(LABEL) & ~F.exists("antecedent", lambda t: t.startswith(LABEL)))
     found = [MinedRule(tuple(sorted(r.antecedent)), r.consequent[0].removeprefix(LABEL), r.confidence, r.support) for r in rules.collect()]
+    if least > wanted:
+        found += grown_rules(rows, n, wanted, min_confidence)
     return prune(found)
 
 
